@@ -1,20 +1,33 @@
 """Joins of facts to dimensions.
 
-No join hint is forced.  Spark broadcasts a dimension when its size is below
-``spark.sql.autoBroadcastJoinThreshold`` (known from statistics, or measured at
-run time by AQE) and otherwise sort-merges, where AQE splits skewed keys of the
-fact side.
+A dimension is broadcast only after it has been measured: :func:`fits` sums the
+bytes of the joined columns and compares them with a limit.  A larger dimension
+is joined by shuffle, where AQE splits the skewed keys of the fact side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tillflow.checks import one_of
 
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows take at most ``max_bytes``, measured by one aggregation."""
+    fixed = 16 * len(df.columns)
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    row_bytes = F.lit(fixed).cast("long")
+    for name in strings:
+        row_bytes = row_bytes + F.coalesce(F.octet_length(name), F.lit(0))
+    measured = df.agg(F.sum(row_bytes)).first()[0]
+    return (measured or 0) <= max_bytes
+
 
 def enrich(
     fact: DataFrame,
@@ -22,13 +35,17 @@ def enrich(
     key: str,
     columns: dict[str, str],
     how: str = "inner",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add dimension columns (``{source: new name}``) to a fact.
 
     ``inner`` drops facts without a match, ``left`` keeps them with NULLs.
+    With ``broadcast_bytes=0`` the dimension is not measured and Spark decides.
     """
     one_of("how", how, {"inner", "left"})
     dim = dimension.select(key, *[F.col(c).alias(n) for c, n in columns.items()])
+    if broadcast_bytes and fits(dim, broadcast_bytes):
+        dim = F.broadcast(dim)
     return fact.join(dim, key, how)
 
 
@@ -54,8 +71,6 @@ def first_seen(df: DataFrame, key: str, ts: str, period: Sequence) -> DataFrame:
     Replaces the self-join of a fact with its per-key minimum: rows are reduced
     to (key, period) on the map side, and only those few rows are windowed.
     """
-    from pyspark.sql import Window
-
     per_period = df.groupBy(key, *period).agg(F.min(ts).alias("_first_in_period"))
     first = F.min("_first_in_period").over(Window.partitionBy(key))
     return per_period.withColumn("first_seen", first)

@@ -53,11 +53,19 @@ def exact_quantiles(
     hit = F.lit(False)
     for r in wanted:
         hit = hit | ((r >= F.col("_start")) & (r < F.col("_end")))
-    selected = ranges.where(hit).select(*keys, "_range", "_start", "_total")
+    names = {k: f"_k{i}" for i, k in enumerate([*keys, "_range"])}
+    selected = ranges.where(hit).select(
+        *[F.col(k).alias(n) for k, n in names.items()], "_start", "_total"
+    )
+    # A null-safe join adds no IS NOT NULL filter to one side, so both sides
+    # keep the same plan below and the counts are shuffled (and scanned) once.
+    same_range = F.lit(True)
+    for key, name in names.items():
+        same_range = same_range & F.col(key).eqNullSafe(F.col(name))
 
     inside = Window.partitionBy(*keys, "_range").orderBy("_c")
     detail = (
-        counted.join(selected, [*keys, "_range"])
+        counted.join(selected, same_range)
         .withColumn("_to", F.col("_start") + F.sum("_n").over(inside))
         .withColumn("_from", F.col("_to") - F.col("_n"))
     )

@@ -40,9 +40,10 @@ def merchant_summary(
     )
     order = [F.desc("total_revenue"), F.asc("merchant_id")]
     best = top_ranked(grouped, order, limit, "revenue_rank")
-    return enrich(best, merchants, "merchant_id", {"name": "merchant_name"}, "left").orderBy(
-        "revenue_rank"
+    named = enrich(
+        best, merchants, "merchant_id", {"name": "merchant_name"}, "left", broadcast_bytes=0
     )
+    return named.orderBy("revenue_rank")
 
 
 def with_names(txn: DataFrame, merchants: DataFrame, how: str = "inner") -> DataFrame:

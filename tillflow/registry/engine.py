@@ -59,6 +59,7 @@ def _(spark, d):
     return _metric_states(spark, d).drop("unique_users_hll", "amount_kll")
 
 
+_SKETCHED = ("unique_customers", "median_transaction", "p99_transaction")
 _PLAIN = ("total_amount", "transaction_count", "avg_amount", "min_amount", "max_amount")
 
 
@@ -142,15 +143,19 @@ def _full_statistics(states: DataFrame) -> DataFrame:
         f"""SELECT merchant_id, category, {AMOUNT} AS total_revenue,
           {mean('amount')} AS average_transaction, min(amount) AS smallest_transaction,
           max(amount) AS largest_transaction, {COUNT} AS total_transactions,
-          count(DISTINCT user_id) AS unique_customers,
-          quantile_disc(CAST(amount AS DOUBLE), 0.5) AS median_transaction,
-          quantile_disc(CAST(amount AS DOUBLE), 0.99) AS p99_transaction,
           {mean('amount')} AS calculated_avg
         FROM txn WHERE created_at >= TIMESTAMP '2024-01-01' GROUP BY merchant_id, category""",
         TXN,
     ),
 )
 def _(spark, d):
+    recent = last_days(views.txn(spark, d), 30, AS_OF)
+    return _full_statistics(maintained.payment_metrics().delta(recent)).drop(*_SKETCHED)
+
+
+@query("state_merge_full_sketches")
+def _(spark, d):
+    """The same with users and percentiles, which are estimates in large groups."""
     recent = last_days(views.txn(spark, d), 30, AS_OF)
     return _full_statistics(maintained.payment_metrics().delta(recent))
 

@@ -13,8 +13,26 @@ from pyspark.sql import functions as F
 from tillflow.functions.times import yyyymm
 
 
+# Declared schemas, so that planning a query does not start a job to infer them.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(index: Column, values: list[str]) -> Column:
@@ -112,10 +130,8 @@ def currency_rates(spark: SparkSession) -> DataFrame:
     """Rates to USD by currency; a parameter table of a few rows."""
     from tillflow.functions.money import USD_RATES
 
-    rows = [(code, rate) for code, rate in USD_RATES.items()]
-    return spark.createDataFrame(rows, "currency string, rate string").select(
-        "currency", F.col("rate").cast("decimal(10,4)").alias("rate_to_usd")
-    )
+    values = ", ".join(f"('{c}', cast({r} as decimal(10,4)))" for c, r in USD_RATES.items())
+    return spark.sql(f"SELECT * FROM VALUES {values} AS rates(currency, rate_to_usd)")
 
 
 def txn_versions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,13 @@ from tillflow.operators.states import (
 )
 
 
+# Views with few groups can afford larger sketches.  Quantiles are then exact up
+# to about 4000 rows and within 0.1 % of the rank beyond; distinct counts are
+# exact up to about 6000 values and within 0.5 % beyond.
+FEW_GROUPS_K = 4096
+FEW_GROUPS_LG_K = 16
+
+
 @dataclass(frozen=True)
 class RowView:
     """A view that maps each payment to one row."""
@@ -134,10 +141,10 @@ def category_stats() -> GroupedView:
         (
             sum_of("total_amount"),
             count_of("transaction_count"),
-            distinct_of("unique_merchants", "merchant_id"),
-            distinct_of("unique_users", "user_id"),
-            quantile_of("median_amount", 0.5),
-            quantile_of("p95_amount", 0.95),
+            distinct_of("unique_merchants", "merchant_id", FEW_GROUPS_LG_K),
+            distinct_of("unique_users", "user_id", FEW_GROUPS_LG_K),
+            quantile_of("median_amount", 0.5, k=FEW_GROUPS_K),
+            quantile_of("p95_amount", 0.95, k=FEW_GROUPS_K),
         ),
         month_of="stat_date",
     )
