@@ -20,10 +20,14 @@ HLL_LG_K = 12
 KLL_K = 200
 
 
+# Columns are made by functions, so that measures can be declared at import time,
+# before there is a session.
+
+
 @dataclass(frozen=True)
 class StateColumn:
     name: str
-    build: Column
+    build: Callable[[], Column]
     merge: Callable[[str], Column]
 
 
@@ -31,46 +35,48 @@ class StateColumn:
 class Measure:
     name: str
     states: tuple[StateColumn, ...]
-    result: Column
+    result: Callable[[], Column]
 
 
 def _sum_state(name: str, source: str) -> StateColumn:
-    return StateColumn(name, F.sum(source).cast(TOTAL), lambda c: F.sum(c).cast(TOTAL))
+    return StateColumn(
+        name, lambda: F.sum(source).cast(TOTAL), lambda c: F.sum(c).cast(TOTAL)
+    )
 
 
 def _count_state(name: str) -> StateColumn:
-    return StateColumn(name, F.count("*"), F.sum)
+    return StateColumn(name, lambda: F.count("*"), F.sum)
 
 
 def sum_of(name: str, source: str = "amount") -> Measure:
-    return Measure(name, (_sum_state(name, source),), F.col(name))
+    return Measure(name, (_sum_state(name, source),), lambda: F.col(name))
 
 
 def count_of(name: str) -> Measure:
-    return Measure(name, (_count_state(name),), F.col(name))
+    return Measure(name, (_count_state(name),), lambda: F.col(name))
 
 
 def mean_of(name: str, source: str = "amount") -> Measure:
     """Sum and count of the non-null values; averages themselves do not merge."""
     s, n = f"{name}_sum", f"{name}_count"
-    counted = StateColumn(n, F.count(source), F.sum)
-    return Measure(name, (_sum_state(s, source), counted), ratio(s, n))
+    counted = StateColumn(n, lambda: F.count(source), F.sum)
+    return Measure(name, (_sum_state(s, source), counted), lambda: ratio(s, n))
 
 
 def min_of(name: str, source: str = "amount") -> Measure:
-    return Measure(name, (StateColumn(name, F.min(source), F.min),), F.col(name))
+    return Measure(name, (StateColumn(name, lambda: F.min(source), F.min),), lambda: F.col(name))
 
 
 def max_of(name: str, source: str = "amount") -> Measure:
-    return Measure(name, (StateColumn(name, F.max(source), F.max),), F.col(name))
+    return Measure(name, (StateColumn(name, lambda: F.max(source), F.max),), lambda: F.col(name))
 
 
 def distinct_of(name: str, source: str, lg_k: int = HLL_LG_K) -> Measure:
     """Distinct count by a mergeable HLL sketch; ``lg_k`` trades size for error."""
     sketch = StateColumn(
-        f"{name}_hll", F.hll_sketch_agg(source, lg_k), lambda c: F.hll_union_agg(c)
+        f"{name}_hll", lambda: F.hll_sketch_agg(source, lg_k), lambda c: F.hll_union_agg(c)
     )
-    return Measure(name, (sketch,), F.hll_sketch_estimate(f"{name}_hll"))
+    return Measure(name, (sketch,), lambda: F.hll_sketch_estimate(f"{name}_hll"))
 
 
 def quantile_of(name: str, p: float, source: str = "amount", k: int = KLL_K) -> Measure:
@@ -78,10 +84,10 @@ def quantile_of(name: str, p: float, source: str = "amount", k: int = KLL_K) ->
     column = f"{source}_kll"
     sketch = StateColumn(
         column,
-        F.kll_sketch_agg_double(F.col(source).cast("double"), k),
+        lambda: F.kll_sketch_agg_double(F.col(source).cast("double"), k),
         lambda c: F.kll_merge_agg_double(c, k),
     )
-    return Measure(name, (sketch,), F.kll_sketch_get_quantile_double(column, F.lit(p)))
+    return Measure(name, (sketch,), lambda: F.kll_sketch_get_quantile_double(column, F.lit(p)))
 
 
 def _columns(measures: Sequence[Measure]) -> list[StateColumn]:
@@ -98,7 +104,7 @@ def state_names(measures: Sequence[Measure]) -> list[str]:
 
 def build_states(df: DataFrame, keys: Sequence, measures: Sequence[Measure]) -> DataFrame:
     """Rows to one row of states per key; keys may be names or columns."""
-    return df.groupBy(*keys).agg(*[s.build.alias(s.name) for s in _columns(measures)])
+    return df.groupBy(*keys).agg(*[s.build().alias(s.name) for s in _columns(measures)])
 
 
 def merge_states(df: DataFrame, keys: Sequence, measures: Sequence[Measure]) -> DataFrame:
@@ -110,4 +116,4 @@ def read_states(df: DataFrame, keys: Sequence, measures: Sequence[Measure]) -> D
     """Merge and turn into results."""
     merged = merge_states(df, keys, measures)
     names = [c for c in merged.columns if c not in set(state_names(measures))]
-    return merged.select(*names, *[m.result.alias(m.name) for m in measures])
+    return merged.select(*names, *[m.result().alias(m.name) for m in measures])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +52,11 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     return configure(spark)
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tillflow-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name below the session's ``spark.checkpoint.dir``.
 
@@ -65,6 +71,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder shared by all executors"
             )
-        root = tempfile.mkdtemp(prefix="tillflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
