@@ -185,14 +185,18 @@ def _spec(partition: dict) -> str:
     return ", ".join(f"{k} = {v!r}" for k, v in partition.items())
 
 
-def _overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace exactly the partitions that occur in ``df``."""
-    target = df.sparkSession.table(table)
-    (
-        df.select(*target.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
+def _overwrite_partition(df: DataFrame, table: str, partition: dict) -> None:
+    """Replace exactly one partition, whatever the session's overwrite mode.
+
+    The partition is named in the statement: a dynamic overwrite would depend
+    on a session setting, and without it would empty every other partition.
+    """
+    spark = df.sparkSession
+    columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in partition)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({_spec(partition)}) "
+        f"SELECT {columns} FROM {{rows}}",
+        rows=df,
     )
 
 
@@ -210,7 +214,7 @@ def move_partition(spark: SparkSession, table: str, archive: str, partition: dic
     if not table_exists(spark, archive):
         names = list(partition)
         create_table(spark, archive, spark.table(table).schema, names)
-    _overwrite_partitions(rows, archive)
+    _overwrite_partition(rows, archive, partition)
     drop_partition(spark, table, partition)
 
 
@@ -244,5 +248,5 @@ def compact(
     staging = shared_dir(spark, "compact")
     merged = merge(spark.table(table).where(_condition(partition)))
     clustered(merged, order, partitions).write.parquet(staging)
-    # Read back as written: the sorted files map to the new files one to one.
-    _overwrite_partitions(spark.read.schema(merged.schema).parquet(staging), table)
+    # The sorted files are copied, not sorted again.
+    _overwrite_partition(spark.read.schema(merged.schema).parquet(staging), table, partition)
