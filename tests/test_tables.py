@@ -188,3 +188,29 @@ def test_shared_folder_is_below_the_session_setting(spark):
     assert made != shared_dir(spark, "x")
     if root:
         assert made.startswith(root.rstrip("/") + os.sep)
+
+
+def test_every_table_can_be_created_twice_and_loaded(spark):
+    from tillflow.sources import catalog
+
+    database = "till_tests"
+    for _ in range(2):
+        names = catalog.create_all(spark, database)
+    assert len(names) == len(catalog.TABLES)
+    for name, spec in catalog.TABLES.items():
+        stored = [f.name for f in spark.table(f"{database}.{name}").schema.fields]
+        assert stored == [f.name for f in spec.stored_schema.fields]
+    made = Generator(users=5, merchants=5, days=40, as_of=datetime(2024, 2, 10)).rows(spark, 100)
+    assert catalog.load(made, "transactions", database) == 100
+    logs = spark.createDataFrame(
+        [(T0, "INFO", "x"), (T0 + timedelta(days=1), "WARN", "y")],
+        "timestamp timestamp_ntz, level string, message string",
+    )
+    assert catalog.load(logs, "logs_daily", database) == 2
+    days = {r.ymd for r in spark.table(f"{database}.logs_daily").collect()}
+    assert days == {20240115, 20240116}
+    prices = spark.createDataFrame(
+        [(1, "Widget", Decimal("29.99"), 100)], "product_id long, name string, price decimal(10,2), stock_quantity long"
+    )
+    assert catalog.load(prices, "products", database) == 1
+    assert spark.table(f"{database}.products").first().updated_at is not None

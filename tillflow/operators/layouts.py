@@ -85,6 +85,11 @@ def materialize(layout, txn: DataFrame, path: str, partitions: int | None = None
     layout.build(txn, partitions).write.mode("overwrite").parquet(path)
 
 
+def materialize_table(layout, txn: DataFrame, table: str, partitions: int | None = None) -> None:
+    """As :func:`materialize`, into a catalog table; dropping that table drops the layout."""
+    layout.build(txn, partitions).write.mode("overwrite").format("parquet").saveAsTable(table)
+
+
 def load(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

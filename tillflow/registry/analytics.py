@@ -20,7 +20,7 @@ query = REGISTRY.add
 # The moments that stand for "now" on the given, static tables.
 AS_OF = datetime(2024, 1, 31)
 HIST_AS_OF = datetime(2001, 8, 2)
-USER_ID = 42
+USER_ID = 8
 MERCHANT_ID = 7
 
 AMOUNT, COUNT = total("amount"), "count(*)"

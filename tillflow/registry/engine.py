@@ -28,6 +28,7 @@ from tillflow.registry.sql_views import (
 )
 from tillflow.session import shared_dir
 from tillflow.sources import views
+from tillflow.sources.schemas import PAYMENT_METRIC
 from tillflow.streaming import pipelines
 from tillflow.streaming import views as maintained
 
@@ -160,6 +161,25 @@ def _(spark, d):
     return _full_statistics(maintained.payment_metrics().delta(recent))
 
 
+@query(
+    "payment_metrics_result",
+    select(
+        f"""SELECT merchant_id, category, currency, CAST(created_at AS DATE) AS metric_date,
+          {AMOUNT} AS total_amount, {COUNT} AS transaction_count, {mean('amount')} AS avg_amount,
+          min(amount) AS min_amount, max(amount) AS max_amount,
+          count(DISTINCT user_id) AS unique_users
+        FROM txn GROUP BY 1, 2, 3, 4""",
+        TXN,
+    ),
+)
+def _(spark, d):
+    """The typed result row of the metric states."""
+    result = maintained.payment_metrics().read(_metric_states(spark, d))
+    return result.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in PAYMENT_METRIC.fields]
+    )
+
+
 @query("uniq_state_merge")
 def _(spark, d):
     """Users per category from daily sketches."""
