@@ -24,7 +24,8 @@ def top_ranked(df: DataFrame, order: list[Column], n: int, rank: str) -> DataFra
     the numbering second, which gives the same numbers as ranking everything.
     """
     best = top(df, order, n)
-    return best.withColumn(rank, F.row_number().over(Window.orderBy(*order))).orderBy(rank)
+    number = F.row_number().over(Window.orderBy(*order)).cast("long")
+    return best.withColumn(rank, number).orderBy(rank)
 
 
 def top_per_group(
@@ -36,7 +37,9 @@ def top_per_group(
     shuffle (WindowGroupLimit), so one large group is not gathered anywhere.
     """
     w = Window.partitionBy(*groups).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= positive("n", n))
+    # The cast follows the filter: the trim needs the bare rank in the condition.
+    kept = df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= positive("n", n))
+    return kept.withColumn(rank, F.col(rank).cast("long"))
 
 
 def grand_total(column: str) -> Column:

@@ -337,18 +337,19 @@ _PRODUCT_ROWS = """products AS (
     ),
 )
 def _(spark, d):
-    """List prices, re-inserted with every sale; the newest insert is current."""
+    """List prices, re-inserted with every sale; the newest insert is current.
+
+    Versions are reduced to one row per product before names are joined.
+    """
     part, line = views.table(spark, d, "part"), views.table(spark, d, "lineitem")
     listed = part.select(
         F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("name"),
         F.col("p_retailprice").cast("decimal(18,2)").alias("price"),
         moment(datetime(1990, 1, 1)).alias("updated_at"),
         F.lit(0).cast("long").alias("sequence"),
     )
-    sold = line.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    sold = line.select(
         F.col("l_partkey").alias("product_id"),
-        F.concat("p_name", F.lit(" Pro")).alias("name"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         F.col("l_shipdate").alias("updated_at"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sequence"),
@@ -356,7 +357,12 @@ def _(spark, d):
     current = merges.latest_version(
         listed.unionByName(sold), ["product_id"], "updated_at", ["sequence", "price"]
     )
-    return current.drop("sequence")
+    names = part.select(F.col("p_partkey").alias("product_id"), "p_name")
+    was_sold = F.col("sequence") > 0
+    name = F.when(was_sold, F.concat("p_name", F.lit(" Pro"))).otherwise(F.col("p_name"))
+    return current.join(names, "product_id").select(
+        "product_id", name.alias("name"), "price", "updated_at"
+    )
 
 
 @query(
@@ -618,12 +624,13 @@ def _(spark, d):
 # -- streams ----------------------------------------------------------------
 
 
-def _event_stream(spark, d, files: int = 4) -> DataFrame:
-    """The events as a stream of several files."""
+def _event_stream(spark, d, batches: int = 4) -> DataFrame:
+    """The events as a stream of files that takes about ``batches`` batches."""
     events = views.table(spark, d, "events")
     folder = shared_dir(spark, "events")
+    files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
     events.repartitionByRange(files, "ts").write.parquet(folder)
-    return pipelines.stream_files(spark, folder, events.schema)
+    return pipelines.stream_files(spark, folder, events.schema, -(-files // batches))
 
 
 def _run(spark, d, wanted: list, prepare=views.as_transactions) -> str:

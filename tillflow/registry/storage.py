@@ -221,7 +221,8 @@ def _(spark, d):
     """Months of orders that are spread over more than one file."""
     folder = shared_dir(spark, "orders")
     orders = views.table(spark, d, "orders").withColumn("ym", times.yyyymm("o_orderdate"))
-    orders.repartition(4).write.partitionBy("ym").parquet(folder)
+    tasks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    orders.repartition(tasks).write.partitionBy("ym").parquet(folder)
     return table_stats.many_files(spark.read.parquet(folder), "ym", more_than=1)
 
 

@@ -20,6 +20,10 @@ RUNTIME_CONF = {
     # few thousand groups of a few KB each still fit an executor task.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Keyed stream state (watermarked hours, remembered ids) can outgrow the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
