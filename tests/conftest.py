@@ -9,8 +9,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, 4)
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session(4, 4, {"spark.sql.warehouse.dir": warehouse})
     session.sql("CREATE DATABASE IF NOT EXISTS till_tests")
     yield session
     session.sql("DROP DATABASE IF EXISTS till_tests CASCADE")

@@ -123,3 +123,13 @@ def test_sample_keeps_whole_keys(spark):
 def test_checks_name_the_argument(value):
     with pytest.raises(ValueError, match="limit"):
         checks.positive("limit", value)
+
+
+def test_total_is_exact_for_extreme_and_negative_amounts(spark):
+    values = ["9999999999999999.99", "9999999999999999.99", "-0.01", "-10485.77", "0.01", None]
+    df = spark.createDataFrame([(v,) for v in values], "a string")
+    df = df.select(F.col("a").cast("decimal(18,2)").alias("a"))
+    many = df.crossJoin(spark.range(50)).drop("id")
+    got, plain = many.agg(money.total("a"), F.sum("a")).first()
+    assert got == plain == 50 * sum(Decimal(v) for v in values if v)
+    assert df.where("a is null").agg(money.total("a")).first()[0] is None

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import TOTAL, ratio
+from tillflow.functions.money import total as money_total
 
 HLL_LG_K = 12
 KLL_K = 200
@@ -40,7 +41,7 @@ class Measure:
 
 def _sum_state(name: str, source: str) -> StateColumn:
     return StateColumn(
-        name, lambda: F.sum(source).cast(TOTAL), lambda c: F.sum(c).cast(TOTAL)
+        name, lambda: money_total(source), lambda c: F.sum(c).cast(TOTAL)
     )
 
 

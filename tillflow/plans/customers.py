@@ -76,7 +76,7 @@ def _usage(txn: DataFrame) -> DataFrame:
     ).agg(
         F.grouping_id().alias("gid"),
         F.count("*").alias("n"),
-        F.sum("amount").alias("spent"),
+        money.total("amount").alias("spent"),
         F.min("created_at").alias("first_at"),
         F.max("created_at").alias("last_at"),
     )

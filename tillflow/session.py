@@ -39,7 +39,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*", partitions: int = 8, conf: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -49,7 +51,7 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
