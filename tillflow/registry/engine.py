@@ -11,7 +11,7 @@ from tillflow.clock import last_days, last_hours_rolling, moment
 from tillflow.functions import times
 from tillflow.operators import merges
 from tillflow.operators.joins import enrich
-from tillflow.operators.states import distinct_of, quantile_of, read_states
+from tillflow.operators.states import quantile_of, read_states
 from tillflow.plans import customers
 from tillflow.registry import Registry
 from tillflow.registry.analytics import AS_OF, MERCHANT_ID
@@ -180,11 +180,19 @@ def _(spark, d):
     )
 
 
-@query("uniq_state_merge")
+@query(
+    "uniq_state_merge",
+    select(
+        """SELECT category, count(DISTINCT merchant_id) AS unique_merchants,
+          count(DISTINCT user_id) AS unique_users FROM txn GROUP BY category""",
+        TXN,
+    ),
+)
 def _(spark, d):
-    """Users per category from daily sketches."""
-    users = distinct_of("unique_users", "user_id")
-    return read_states(_metric_states(spark, d), ["category"], [users])
+    """Merchants and users per category, merged from daily sketches per status."""
+    view = maintained.category_stats()
+    counts = [m for m in view.measures if m.name.startswith("unique_")]
+    return read_states(view.delta(views.txn(spark, d)), ["category"], counts)
 
 
 @query("quantile_state_merge")

@@ -79,3 +79,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             )
         root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`shared_dir` once it is no longer needed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillflow.functions.times import week_start, yyyymm, yyyymmdd
-from tillflow.session import shared_dir
+from tillflow.session import discard, shared_dir
 
 MONTH = "ym"
 
@@ -244,9 +244,11 @@ def compact(
 
     The result is first written to the shared folder and the partition is
     replaced from there: the table never depends on rows being overwritten.
+    The staged copy is deleted only after the partition has been replaced.
     """
     staging = shared_dir(spark, "compact")
     merged = merge(spark.table(table).where(_condition(partition)))
     clustered(merged, order, partitions).write.parquet(staging)
     # The sorted files are copied, not sorted again.
     _overwrite_partition(spark.read.schema(merged.schema).parquet(staging), table, partition)
+    discard(spark, staging)
