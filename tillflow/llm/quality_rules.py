@@ -102,8 +102,10 @@ def _letter(spark: SparkSession):
         if places[rows[x]] >= 0:
             raise ValueError(f"{x} and {COMMON_WORDS[places[rows[x]]]} share a slot")
         places[rows[x]] = k
-    word = F.array(*[F.lit(COMMON_WORDS[k] if k >= 0 else "") for k in places.values()])
-    letter = F.array(*[F.lit(LETTERS[k] if k >= 0 else "") for k in places.values()])
+    table = lambda of: F.split(  # noqa: E731  a literal, made in one call
+        F.lit(" ".join(of[k] if k >= 0 else "" for k in places.values())), " "
+    )
+    word, letter = table(COMMON_WORDS), table(LETTERS)
 
     def of(x: Column) -> Column:
         slot = F.pmod(F.xxhash64(x), F.lit(SLOTS)).cast("int")
