@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import exact_dedup, quality_rules
+from tillflow.llm import exact_dedup, quality_rules, simhash_dedup
 from tillflow.llm.common import documents
 
 
@@ -16,7 +16,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assigned(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_exact_dedup)}
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.assigned(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_exact_dedup, op8_simhash)}
 
 _NORMAL = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
