@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import exact_dedup, quality_rules, simhash_dedup
+from tillflow.llm import byte_bpe, exact_dedup, quality_rules, simhash_dedup
 from tillflow.llm.common import documents
 
 
@@ -16,11 +17,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assigned(documents(spark, sf_dir))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return byte_bpe.digests(documents(spark, sf_dir), path)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.assigned(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_exact_dedup, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_exact_dedup, op5_byte_bpe, op8_simhash)}
 
 _NORMAL = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
