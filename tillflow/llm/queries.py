@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import byte_bpe, exact_dedup, quality_rules, simhash_dedup
+from tillflow.llm import byte_bpe, exact_dedup, quality_rules, simhash_dedup, token_counts
 from tillflow.llm.common import documents
 
 
@@ -13,6 +13,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir), ["doc_id"])
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.counted(documents(spark, sf_dir), path)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assigned(documents(spark, sf_dir))
 
@@ -26,7 +31,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.assigned(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_exact_dedup, op5_byte_bpe, op8_simhash)}
+QUERIES = {f.__name__: f for f in (
+    op2_quality_rules, op3_token_counts, op4_exact_dedup, op5_byte_bpe, op8_simhash
+)}
 
 _NORMAL = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
