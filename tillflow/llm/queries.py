@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import byte_bpe, exact_dedup, quality_rules, simhash_dedup, token_counts
+from tillflow.llm import (
+    byte_bpe,
+    exact_dedup,
+    lang_gru,
+    mixing,
+    quality_rules,
+    simhash_dedup,
+    token_counts,
+    toxicity,
+)
 from tillflow.llm.common import documents
 
 
@@ -31,9 +40,29 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.assigned(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op3_token_counts, op4_exact_dedup, op5_byte_bpe, op8_simhash
-)}
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.assigned(documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op10_lang_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_gru.predicted(documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_quality_rules, op3_token_counts, op4_exact_dedup, op5_byte_bpe, op6_toxicity,
+        op8_simhash, op9_mixing, op10_lang_gru,
+    )
+}
 
 _NORMAL = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
