@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillflow.llm import (
     byte_bpe,
     exact_dedup,
+    html_templates,
     lang_gru,
     mixing,
     quality_rules,
     simhash_dedup,
+    suffix_dedup,
     token_counts,
     toxicity,
 )
 from tillflow.llm.common import documents
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(documents(spark, sf_dir))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir), ["doc_id"])
 
@@ -36,6 +43,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(documents(spark, sf_dir), path)
 
 
+def op7_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_templates.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.assigned(documents(spark, sf_dir))
 
@@ -59,10 +70,10 @@ def op10_lang_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_rules, op3_token_counts, op4_exact_dedup, op5_byte_bpe, op6_toxicity,
-        op8_simhash, op9_mixing, op10_lang_gru,
+        op1_suffix_dedup, op2_quality_rules, op3_token_counts, op4_exact_dedup, op5_byte_bpe, op6_toxicity,
+        op7_html_templates, op8_simhash, op9_mixing, op10_lang_gru,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
 
 _NORMAL = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
