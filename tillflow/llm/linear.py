@@ -86,12 +86,16 @@ def sample(docs: DataFrame, labelled: DataFrame, label: Column, doc_id: str, tex
         .mapInArrow(_extracted, "label array<int>, at array<int>, n array<int>")
         .toArrow()
     )
-    at = [np.asarray(x, np.int64) for x in rows["at"].to_pylist()]
-    counts = [np.asarray(x, np.float64) for x in rows["n"].to_pylist()]
-    row = np.repeat(np.arange(len(at)), [len(x) for x in at])
-    flat = lambda x: np.concatenate(x) if x else np.zeros(0)
-    labels = np.array(rows["label"].to_pylist() or np.zeros((0, 1)), np.int64)
-    return Sample(labels, row, flat(at).astype(np.int64), np.log1p(flat(counts)))
+    lists = [rows[x].combine_chunks() for x in ("label", "at", "n")]
+    flat = [np.concatenate([c.flatten().to_numpy() for c in _chunks(x)] or [np.zeros(0)]) for x in lists]
+    sizes = np.concatenate([c.value_lengths().to_numpy() for c in _chunks(lists[1])] or [np.zeros(0, int)])
+    row = np.repeat(np.arange(rows.num_rows), sizes)
+    labels = flat[0].astype(np.int64).reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, 1), np.int64)
+    return Sample(labels, row, flat[1].astype(np.int64), np.log1p(flat[2].astype(np.float64)))
+
+
+def _chunks(x):  # noqa: ANN001, ANN202
+    return x.chunks if isinstance(x, pa.ChunkedArray) else [x]
 
 
 def telling(data: Sample, label: np.ndarray, classes: int) -> np.ndarray:
