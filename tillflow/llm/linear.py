@@ -13,6 +13,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,32 +27,42 @@ BUCKETS = 1 << 18
 #: Bound on the labelled rows of a fit.
 FIT_ROWS = 8_000
 FEATURES = 3_000
+#: Words whose buckets a task remembers.
+REMEMBERED = 400_000
 STEPS, RATE, RIDGE = 150, 0.1, 1e-4
 _EDGES = ".,;:!?\"'()[]{}«»¿¡*_-"
 
 
-def features(text: str | None) -> tuple[list[int], list[int]]:
-    """Buckets, ascending, and their counts."""
-    counts: Counter[str] = Counter()
-    for word, n in Counter((text or "").split()).items():
+class Buckets(dict):
+    """The buckets of each word met so far; ``wanted``: all others are left out."""
+
+    def __init__(self, wanted: np.ndarray | None = None) -> None:
+        super().__init__()
+        self.wanted = None if wanted is None else set(wanted.tolist())
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
         start = word.lower().strip(_EDGES)[:5]
-        if start:
-            counts[f"^{start}"] += n
-        counts[f"{word[-2:]}$"] += n
-    found: Counter[int] = Counter()
-    for name, n in counts.items():
-        found[zlib.crc32(name.encode("utf-8", "replace")) % BUCKETS] += n
-    order = sorted(found)
-    return order, [found[k] for k in order]
+        names = (f"^{start}", f"{word[-2:]}$") if start else (f"{word[-2:]}$",)
+        found = tuple(zlib.crc32(x.encode("utf-8", "replace")) % BUCKETS for x in names)
+        if self.wanted is not None:
+            found = tuple(k for k in found if k in self.wanted)
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[word] = found
+        return found
+
+    def counts(self, words: list[str]) -> Counter[int]:
+        return Counter(chain.from_iterable(map(self.__getitem__, words)))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    buckets = Buckets()
     for batch in batches:
-        found = [features(x.as_py()) for x in batch.column("text")]
+        found = [buckets.counts((x.as_py() or "").split()) for x in batch.column("text")]
         yield pa.record_batch({
             "label": batch.column("label"),
-            "at": pa.array([a for a, _ in found], pa.list_(pa.int32())),
-            "n": pa.array([n for _, n in found], pa.list_(pa.int32())),
+            "at": pa.array([list(x) for x in found], pa.list_(pa.int32())),
+            "n": pa.array([list(x.values()) for x in found], pa.list_(pa.int32())),
         })
 
 
@@ -176,24 +187,27 @@ def fit(data: Sample, label: np.ndarray, classes: int, extra: np.ndarray | None
     return model
 
 
-def scored(docs: DataFrame, carry: list[str], text: str, outputs: int, score, purpose: str) -> DataFrame:  # noqa: ANN001
+def scored(docs: DataFrame, carry: list[str], text: str, outputs: int, wanted: np.ndarray,
+           score, purpose: str) -> DataFrame:  # noqa: ANN001
     """``carry``, n_words and probabilities (an array) of each row, written to shared files.
 
-    ``score`` maps (buckets, values, rows, number of rows) to an array of probabilities.
+    ``wanted``: the buckets that the models use.  ``score`` maps (buckets, values, rows, number of rows) to an array of probabilities.
     """
     names = [f"c{k}" for k in range(len(carry))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = Buckets(wanted)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
             found, n_words = [], []
-            for x in texts:
-                found.append(features(value := x.as_py()))
-                n_words.append(len((value or "").split()))
-            sizes = [len(a) for a, _ in found]
+            for x in batch.column(batch.num_columns - 1):
+                words = (x.as_py() or "").split()
+                found.append(buckets.counts(words))
+                n_words.append(len(words))
+            sizes = list(map(len, found))
             row = np.repeat(np.arange(len(found)), sizes)
-            at = np.fromiter((k for a, _ in found for k in a), np.int64, sum(sizes))
-            value = np.log1p(np.fromiter((n for _, c in found for n in c), np.float64, sum(sizes)))
+            at = np.fromiter(chain.from_iterable(found), np.int64, sum(sizes))
+            counts = chain.from_iterable(x.values() for x in found)
+            value = np.log1p(np.fromiter(counts, np.float64, sum(sizes)))
             p = score(at, value, row, len(found))
             flat = pa.array(np.ascontiguousarray(p).reshape(-1), pa.float64())
             ends = pa.array(np.arange(len(found) + 1, dtype=np.int32) * outputs)

@@ -9,7 +9,7 @@ rate * tokens * probability, shall match the targets, with a small pull towards
 Projected gradient: a step needs one number for each domain (its miss), which is a
 distributed sum, and changes every rate by an expression of the document's own row.  The
 miss is weighed by the domain's share, which makes hard domains fit in one step; soft ones
-take some twenty.  Only these few numbers come to the driver.
+take some twenty, and STEPS are always taken: rates settle later than misses.  Only these few numbers come to the driver.
 
 Defined results: a null text has no tokens; its rate follows from its probabilities like
 any other.  Without labelled rows all domains are equally likely.  A target of a domain
@@ -29,7 +29,7 @@ from tillflow.llm.common import col, fresh, stored, total
 DOMAINS = ("clean", "low", "toxic")
 TARGETS = {"clean": 0.90, "low": 0.07, "toxic": 0.03}
 PULL = 1e-3
-STEPS, ENOUGH, CUT_EVERY = 60, 1e-5, 10
+STEPS, CUT_EVERY = 30, 10
 
 
 def domain_label() -> Column:
@@ -49,7 +49,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, carry: list[str], doc_id: str
             return np.full((rows, n), 1 / n)
         return linear.softmax(model.scores(at, value, row, rows, np.zeros((rows, 0))))
 
-    return linear.scored(docs, carry, text, n, score, "mixing-domains")
+    wanted = np.zeros(0, np.int64) if model is None else model.buckets
+    return linear.scored(docs, carry, text, n, wanted, score, "mixing-domains")
 
 
 def with_rates(found: DataFrame, targets: dict[str, float], max_rate: float | None = None,
@@ -75,13 +76,10 @@ def with_rates(found: DataFrame, targets: dict[str, float], max_rate: float | No
         k = DOMAINS.index(anchor)
         want = want * share[k] / want[k]
     step = 1 / (1 + PULL)
-    rated, rate, before = found, F.lit(1.0), None
+    rated, rate = found, F.lit(1.0)
     for turn in range(1, STEPS + 1):
         now = np.array(rated.agg(*sums(tokens * rate)).first(), float) / size
         miss = np.where(share > 0, (now - want) / np.maximum(share, 1e-12), 0.0)
-        if before is not None and np.abs(miss - before).max() < ENOUGH:
-            break
-        before = miss
         pushed = total([F.get("p", k) * F.lit(float(miss[k])) for k in range(n)])
         rate = rate * F.lit(1 - step * PULL) + F.lit(step * PULL) - pushed * F.lit(step)
         rate = F.greatest(F.lit(0.0), rate)

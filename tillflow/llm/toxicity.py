@@ -67,7 +67,8 @@ def scored(docs: DataFrame, labels: DataFrame, categories: dict[str, Column] | N
             earlier = np.column_stack([earlier, _odds(out[-1])])
         return np.column_stack(out)
 
-    found = linear.scored(docs, [doc_id], text, width, score, "toxicity")
+    wanted = np.unique(np.concatenate([m.buckets for m in models] or [np.zeros(0, np.int64)]))
+    found = linear.scored(docs, [doc_id], text, width, wanted, score, "toxicity")
     last = len(categories) - 1
     return found.select(
         F.col(doc_id).alias("doc_id"),
