@@ -53,8 +53,9 @@ def test_rates_meet_the_targets(docs, labels):
 def test_rates_equal_a_plain_solution(spark):
     rng = np.random.default_rng(1)
     p, n = rng.dirichlet([1, 1, 1], 40), rng.integers(1, 50, 40)
-    df = spark.createDataFrame([(int(a), [float(y) for y in x]) for a, x in zip(n, p)], "n_words long, p array<double>")
-    got = np.array([r.rate for r in mixing.with_rates(df, mixing.TARGETS).collect()])
+    rows = [(k, int(a), [float(y) for y in x]) for k, (a, x) in enumerate(zip(n, p))]
+    df = spark.createDataFrame(rows, "k int, n_words long, p array<double>")
+    got = np.array([r.rate for r in mixing.with_rates(df, mixing.TARGETS).orderBy("k").collect()])
     share, want = (n[:, None] * p).sum(0) / n.sum(), np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
     r = np.ones(40)
     for _ in range(mixing.STEPS):
