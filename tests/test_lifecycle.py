@@ -149,3 +149,15 @@ def test_statistics_add_up(spark, sf_dir, tmp_path):
     assert {r.partition for r in crowded} == {r.partition for r in stats if r.files > 2}
     columns = {r.column for r in table_stats.column_sizes(spark, path).collect()}
     assert columns == set(orders.columns) - {"ym"}
+
+
+def test_rows_without_a_time_stay(spark):
+    from datetime import datetime
+
+    rows = [("a", datetime(2020, 1, 1), 1), ("a", None, 2), ("a", datetime(2024, 1, 30), 4)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, n int")
+    at = datetime(2024, 1, 31)
+    kept = lifecycle.expire_rows(df, "ts", at, years=2).collect()
+    assert sorted(r.n for r in kept) == [2, 4]
+    rolled = lifecycle.roll_up(df, ["k"], "ts", ["n"], at).collect()
+    assert sorted(r.n for r in rolled) == [1, 2, 4]

@@ -104,3 +104,10 @@ def test_cancel_without_its_row_is_reported(spark):
     df = spark.createDataFrame([(1, 5, -1), (1, 5, -1), (2, 6, 1)], "k int, b int, sign int")
     assert [tuple(r) for r in merges.unmatched_cancels(df).collect()] == [(1, 5, 2)]
     assert [r.k for r in merges.collapse(df).collect()] == [2]
+
+
+def test_rows_left_over_several_times_stay(spark):
+    rows = [(1, 100, 1), (1, 100, 1), (1, 100, 1), (1, 100, -1), (2, 5, 1)]
+    df = spark.createDataFrame(rows, "user_id int, balance int, sign int")
+    out = sorted(tuple(r) for r in merges.collapse(df).collect())
+    assert out == [(1, 100, 1), (1, 100, 1), (2, 5, 1)]

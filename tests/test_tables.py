@@ -214,3 +214,32 @@ def test_every_table_can_be_created_twice_and_loaded(spark):
     )
     assert catalog.load(prices, "products", database) == 1
     assert spark.table(f"{database}.products").first().updated_at is not None
+
+
+def test_moves_add_to_what_is_there(spark, transactions):
+    month = {"ym": 202401}
+    insert(spark, transactions, [row(1, T0), row(2, T0)])
+    tables.detach_partition(spark, transactions, month)
+    insert(spark, transactions, [row(3, T0)])
+    tables.attach_partition(spark, transactions, month)
+    assert months(spark, transactions) == {202401: 3}
+    archive = f"{transactions}_archive"
+    tables.move_partition(spark, transactions, archive, month)
+    insert(spark, transactions, [row(4, T0)])
+    tables.move_partition(spark, transactions, archive, month)
+    assert months(spark, archive) == {202401: 4} and months(spark, transactions) == {}
+
+
+def test_a_broken_move_goes_on_without_losing_or_doubling(spark, transactions, monkeypatch):
+    month, archive = {"ym": 202401}, f"{transactions}_archive"
+    insert(spark, transactions, [row(1, T0), row(2, T0)])
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(tables, "_leave_new_files", fail)
+        tables.move_partition(spark, transactions, archive, month)
+    insert(spark, transactions, [row(3, T0)])
+    tables.move_partition(spark, transactions, archive, month)
+    assert months(spark, archive) == {202401: 2} and months(spark, transactions) == {202401: 1}

@@ -19,19 +19,27 @@ def expired(ts: str, as_of: datetime | None = None, **age: int) -> Column:
 
     Written as a bound on ``ts`` itself where the age is in days, so that the
     condition can be pushed to the scan; months and years add to ``ts`` because
-    calendar additions do not invert at month ends.
+    calendar additions do not invert at month ends.  A row without a time never expires.
     """
     for name, value in age.items():
         positive(name, value)
     cut = moment(now(as_of))
     if set(age) == {"days"}:
-        return F.col(ts) <= times.plus(cut, days=-age["days"])
-    return times.plus(ts, **age) <= cut
+        return F.coalesce(F.col(ts) <= times.plus(cut, days=-age["days"]), F.lit(False))
+    return F.coalesce(times.plus(ts, **age) <= cut, F.lit(False))
+
+
+def _fresh_bound(ts: str, as_of: datetime | None, **age: int) -> Column:
+    """A bound on ``ts`` alone that every row that hasn't expired meets."""
+    cut = moment(now(as_of))
+    slack = 0 if set(age) == {"days"} else 3  # days by which calendar additions may differ
+    back = {k: -v for k, v in age.items()} | {"days": -age.get("days", 0) - slack}
+    return F.col(ts).isNull() | (F.col(ts) > times.plus(cut, **back))
 
 
 def expire_rows(df: DataFrame, ts: str, as_of: datetime | None = None, **age: int) -> DataFrame:
-    """Rows that have not expired."""
-    return df.where(~expired(ts, as_of, **age))
+    """Rows that have not expired; rows without a time never do."""
+    return df.where(_fresh_bound(ts, as_of, **age) & ~expired(ts, as_of, **age))
 
 
 def expire_columns(
@@ -58,8 +66,9 @@ def roll_up(
     filtered scans; both filters are bounds on ``ts`` and reach the scan.
     """
     columns = [*keys, ts, *sums]
-    old = df.where(expired(ts, as_of, days=days))
-    recent = df.where(~expired(ts, as_of, days=days)).select(*columns)
+    bound = F.col(ts) <= times.plus(moment(now(as_of)), days=-positive("days", days))
+    old = df.where(bound)
+    recent = df.where(~bound | F.col(ts).isNull()).select(*columns)
     hourly = (
         old.groupBy(*keys, times.hour_start(ts).alias(ts))
         .agg(*[F.sum(c).alias(c) for c in sums])
@@ -89,7 +98,8 @@ def tier(
 def _months(spark: SparkSession, table: str) -> list[int]:
     """Months a table has, from the catalog (no data is read)."""
     rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    return sorted(int(r[0].split("=")[1]) for r in rows)
+    parts = [dict(p.split("=", 1) for p in r[0].split("/")) for r in rows]
+    return sorted({int(p["ym"]) for p in parts if p["ym"] != "__HIVE_DEFAULT_PARTITION__"})
 
 
 def _next_month(ym: int) -> datetime:

@@ -76,10 +76,10 @@ def collapse(df: DataFrame, sign: str = "sign") -> DataFrame:
     """Rows left after each -1 row cancels an equal +1 row.
 
     Equality covers all other columns, a version column included, so rows may
-    arrive in any order.  A row that is left over several times is returned once.
+    arrive in any order.  A row that is left over several times comes as often.
     """
-    net = _net(df, sign)
-    return net.where("_net > 0").drop("_net").withColumn(sign, F.lit(1))
+    net = _net(df, sign).where("_net > 0")
+    return net.withColumn(sign, F.explode(F.expr("array_repeat(1, cast(_net as int))"))).drop("_net")
 
 
 def unmatched_cancels(df: DataFrame, sign: str = "sign") -> DataFrame:

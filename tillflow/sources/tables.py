@@ -204,18 +204,60 @@ def drop_partition(spark: SparkSession, table: str, partition: dict) -> None:
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(partition)})")
 
 
+def _marker(table: str, partition: dict) -> str:
+    return "tillflow.moving." + ".".join([table.replace(".", "_"), *map(str, partition.values())])
+
+
+def _property(spark: SparkSession, table: str, key: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == key).collect()
+    return rows[0]["value"] if rows else None
+
+
 def move_partition(spark: SparkSession, table: str, archive: str, partition: dict) -> None:
-    """Move one partition to a table of the same columns.
+    """Add the rows of one partition to a table of the same columns and take them out here.
 
-    The copy replaces the partition in the archive and the source is dropped
-    only afterwards, so the move can be repeated after a failure.
+    What the archive has of the partition stays.  Both together are first staged in the
+    shared folder and the archive is marked with the staged path; then its partition is
+    replaced from there, the source is emptied and the mark removed.  A move that broke off
+    goes on from the mark when it is repeated, so no row is lost or added twice.  Rows that
+    arrive in the source meanwhile are in files that weren't staged, and stay in it.
     """
-    rows = spark.table(table).where(_condition(partition))
     if not table_exists(spark, archive):
-        names = list(partition)
-        create_table(spark, archive, spark.table(table).schema, names)
-    _overwrite_partition(rows, archive, partition)
-    drop_partition(spark, table, partition)
+        create_table(spark, archive, spark.table(table).schema, list(partition))
+    spark.catalog.refreshTable(table)
+    mark = _marker(table, partition)
+    staging = _property(spark, archive, mark)
+    if staging is None:
+        staging = shared_dir(spark, "move")
+        rows = spark.table(table).where(_condition(partition))
+        files = rows.inputFiles()
+        spark.createDataFrame([(f,) for f in files], "file string").write.parquet(f"{staging}/files")
+        there = spark.table(archive).where(_condition(partition))
+        both = there.unionByName(spark.read.schema(rows.schema).parquet(*files).withColumns(
+            {k: F.lit(v).cast(rows.schema[k].dataType) for k, v in partition.items()}
+        )) if files else there
+        both.write.parquet(f"{staging}/rows")
+        spark.sql(f"ALTER TABLE {archive} SET TBLPROPERTIES ('{mark}' = '{staging}')")
+    schema = spark.table(archive).schema
+    _overwrite_partition(spark.read.schema(schema).parquet(f"{staging}/rows"), archive, partition)
+    _leave_new_files(spark, table, partition, f"{staging}/files", f"{staging}/late")
+    spark.sql(f"ALTER TABLE {archive} UNSET TBLPROPERTIES ('{mark}')")
+    discard(spark, staging)
+
+
+def _leave_new_files(spark: SparkSession, table: str, partition: dict, moved: str, late: str) -> None:
+    """Empty a partition of the files listed in ``moved``."""
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table).where(_condition(partition))
+    new = sorted(set(rows.inputFiles()) - {r.file for r in spark.read.parquet(moved).collect()})
+    if not new:
+        drop_partition(spark, table, partition)
+        return
+    kept = spark.read.schema(rows.schema).parquet(*new)
+    kept.withColumns(
+        {k: F.lit(v).cast(rows.schema[k].dataType) for k, v in partition.items()}
+    ).write.mode("overwrite").parquet(late)
+    _overwrite_partition(spark.read.schema(rows.schema).parquet(late), table, partition)
 
 
 def _side_table(table: str) -> str:
