@@ -1,16 +1,19 @@
 """Streams that maintain views.
 
 ``foreachBatch`` may run a batch twice, so a batch owns one folder per view,
-named by its id and overwritten as a whole: a repeated batch leaves exactly
-one copy.  Readers merge the folders; :func:`compact_view` merges them for good.
+named by its stream and its id and overwritten as a whole: a repeated batch leaves
+exactly one copy, and streams and backfills into one view don't meet.  A stream is named
+by its checkpoint, so a new checkpoint is a new stream.  Readers merge the folders; :func:`compact_view` merges them for good.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,8 +34,13 @@ def stream_files(
     return reader.parquet(folder)
 
 
-def write_delta(view, rows: DataFrame, root: str, batch_id: int) -> None:
-    """Store what one batch adds to a view, replacing an earlier attempt."""
+def stream_id(checkpoint: str) -> str:
+    """The name of the stream that a checkpoint belongs to; backfills take any other name."""
+    return "s" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def write_delta(view, rows: DataFrame, root: str, batch_id: int, stream: str = "backfill") -> None:
+    """Store what one batch of a stream adds to a view, replacing an earlier attempt."""
     delta = view.delta(rows)
     writer_columns = []
     if view.month_of:
@@ -41,7 +49,7 @@ def write_delta(view, rows: DataFrame, root: str, batch_id: int) -> None:
     (
         delta.write.mode("overwrite")
         .partitionBy(*writer_columns)
-        .parquet(f"{root}/{view.name}/batch_id={batch_id}")
+        .parquet(f"{root}/{view.name}/stream={stream}/batch_id={batch_id}")
     )
 
 
@@ -62,13 +70,13 @@ def maintain(
     def feed(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
         if len(views) == 1:
-            write_delta(views[0], rows, root, batch_id)
+            write_delta(views[0], rows, root, batch_id, stream_id(checkpoint))
             return
         # Several views read the batch; losing an executor only recomputes it.
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for view in views:
-                write_delta(view, rows, root, batch_id)
+                write_delta(view, rows, root, batch_id, stream_id(checkpoint))
         finally:
             rows.unpersist()
 
@@ -80,23 +88,41 @@ def maintain(
     )
 
 
-def stored(spark: SparkSession, view, root: str, after_batch: int | None = None) -> DataFrame:
-    """Rows a view has stored, optionally only of batches after a given one."""
-    rows = spark.read.parquet(f"{root}/{view.name}")
+def _of_batches(rows: DataFrame, up_to: int | dict[str, int]) -> Column:
+    """Batches up to a number; for several streams a number for each of them."""
+    if isinstance(up_to, dict):
+        named = [(F.col("stream") == s) & (F.col("batch_id") <= n) for s, n in up_to.items()]
+        return reduce(lambda a, b: a | b, named, F.lit(False))
+    if rows.select("stream").distinct().limit(2).count() > 1:
+        raise ValueError("several streams feed this view: name a batch for each of them")
+    return F.col("batch_id") <= up_to
+
+
+def _batches(spark: SparkSession, view, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{view.name}")
+
+
+def stored(
+    spark: SparkSession, view, root: str, after_batch: int | dict[str, int] | None = None
+) -> DataFrame:
+    """Rows a view has stored, optionally only of batches after the given ones."""
+    rows = _batches(spark, view, root)
     if after_batch is not None:
-        rows = rows.where(F.col("batch_id") > after_batch)
-    return rows
+        rows = rows.where(~_of_batches(rows, after_batch))
+    return rows.drop("stream")
 
 
 def compact_view(
-    spark: SparkSession, view, root: str, target: str, up_to: int, partitions: int | None = None
+    spark: SparkSession, view, root: str, target: str, up_to: int | dict[str, int],
+    partitions: int | None = None
 ) -> None:
     """Merge the batches up to ``up_to`` into a new folder.
 
     The source is left alone until readers have moved to
     :func:`compacted_and_new`, so a failed run loses nothing.
     """
-    merged = view.merge(stored(spark, view, root).where(F.col("batch_id") <= up_to))
+    rows = _batches(spark, view, root)
+    merged = view.merge(rows.where(_of_batches(rows, up_to)).drop("stream"))
     columns = []
     if view.month_of:
         merged = merged.withColumn("ym", yyyymm(view.month_of))
@@ -107,7 +133,7 @@ def compact_view(
 
 
 def compacted_and_new(
-    spark: SparkSession, view, root: str, target: str, up_to: int
+    spark: SparkSession, view, root: str, target: str, up_to: int | dict[str, int]
 ) -> DataFrame:
     """States of a compacted folder and of the batches that came after it."""
     fresh = stored(spark, view, root, after_batch=up_to).drop("batch_id")
