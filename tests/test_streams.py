@@ -134,3 +134,18 @@ def test_hours_roll_up_to_days_and_months(spark, sf_dir):
     total = months.agg(F.sum("revenue"), F.sum("orders")).first()
     done = txn.where("status = 'completed'").agg(F.sum("amount"), F.count("*")).first()
     assert tuple(total) == tuple(done)
+
+
+def test_streams_and_backfills_share_a_view(spark, tmp_path):
+    root = str(tmp_path)
+    view = maintained.RowView("kept", lambda: ["n", "created_at"])
+    rows = spark.sql("SELECT id AS n, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS created_at FROM range(10)")
+    one, two = (pipelines.stream_id(f"{root}/{x}") for x in ("one", "two"))
+    pipelines.write_delta(view, rows.where("n < 4"), root, 0, one)
+    pipelines.write_delta(view, rows.where("n >= 4 AND n < 9"), root, 0, two)
+    for _ in range(2):  # a repeated attempt counts once
+        pipelines.write_delta(view, rows.where("n = 9"), root, 0)
+    assert sorted(r.n for r in pipelines.stored(spark, view, root).collect()) == list(range(10))
+    assert pipelines.stored(spark, view, root, {one: 0, "backfill": 0}).count() == 5
+    with pytest.raises(ValueError):
+        pipelines.stored(spark, view, root, 0)
