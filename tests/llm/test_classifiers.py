@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tillflow.llm import lang_gru, mixing, toxicity
+from tillflow.llm import lang_gru, linear, mixing, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -23,6 +26,27 @@ def labels(spark):
     return spark.read.parquet(f"{SF}/labels.parquet")
 
 
+def _plain_features(text):
+    """Counts of buckets, and words, one word after the other."""
+    raw = (text or "").encode()
+    runs = [x[:5] for x in raw.translate(bytes(linear._LETTER)).split(b"\0") if x]
+    words = [x for x in re.split(rb"[\x20\x09-\x0D]+", raw) if x]
+    keys = [int.from_bytes(x, "little") for x in runs]
+    keys += [w[-1] | (w[-2] if len(w) > 1 else 0) << 8 | 1 << 40 for w in words]
+    return Counter(k * int(linear._SPREAD) % 2**64 >> 64 - linear.BITS for k in keys), len(words)
+
+
+@pytest.mark.parametrize("portion", [1, 40, 1 << 20])
+def test_features_equal_a_plain_count(monkeypatch, portion):
+    monkeypatch.setattr(linear, "PORTION_BYTES", portion)
+    texts = ["The cat, the CAT; don't!", None, "", "  \n", "É!", "naïve «q» longerwords longerword", "a\tb" * 50]
+    row, at, count, words = linear.features(pa.array(texts))
+    for k, text in enumerate(texts):
+        here = row == k
+        assert (dict(zip(at[here].tolist(), count[here].tolist())), words[k]) == _plain_features(text)
+    assert [len(x) for x in linear.features(pa.array([], pa.string()))] == [0] * 4
+
+
 def test_toxicity_on_held_out_rows(spark):
     """Over 4,000 labelled rows; sf0.01 has some 240, too few to learn from."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))

@@ -1,68 +1,109 @@
 """Linear text classifiers, fitted with numpy on a bounded sample of labelled rows.
 
-Features of a text: how often each word begins with given characters (its first five,
-without case or punctuation around it) and each raw word's last two, hashed into
-``BUCKETS``.  A fit takes at most about ``FIT_ROWS`` labelled rows, chosen by a hash of
+Features of a text, taken from its UTF-8 bytes with numpy: the first ``START`` bytes of each
+run of letters and digits, A-Z in lower case, and the last two bytes of each word between
+spaces, hashed into ``BUCKETS``.  A fit takes at most about ``FIT_ROWS`` labelled rows, chosen by a hash of
 their id, and keeps the ``FEATURES`` buckets that tell the classes apart best.  Scoring
 covers whole texts of all rows.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from tillflow.llm.common import col, stored
 
-BUCKETS = 1 << 18
+BITS = 18
+BUCKETS = 1 << BITS
+START = 5
+PORTION_BYTES = 8 << 20
 #: Bound on the labelled rows of a fit.
 FIT_ROWS = 8_000
 FEATURES = 3_000
-#: Words whose buckets a task remembers.
-REMEMBERED = 400_000
 STEPS, RATE, RIDGE = 150, 0.1, 1e-4
-_EDGES = ".,;:!?\"'()[]{}«»¿¡*_-"
+#: A byte of a letter or digit, A-Z in lower case; zero for any other.
+_LETTER = np.array(
+    [ord(chr(b).lower()) if b < 128 and chr(b).isalnum() else b * (b > 127) for b in range(256)], np.uint8
+)
+_SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+#: An odd multiplier that spreads a key over the upper bits.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Buckets(dict):
-    """The buckets of each word met so far; ``wanted``: all others are left out."""
+def _rows_between(spots: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many of the sorted ``spots`` each row has; ``bounds``: where rows begin and end."""
+    return np.diff(np.searchsorted(spots, bounds))
 
-    def __init__(self, wanted: np.ndarray | None = None) -> None:
-        super().__init__()
-        self.wanted = None if wanted is None else set(wanted.tolist())
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        start = word.lower().strip(_EDGES)[:5]
-        names = (f"^{start}", f"{word[-2:]}$") if start else (f"{word[-2:]}$",)
-        found = tuple(zlib.crc32(x.encode("utf-8", "replace")) % BUCKETS for x in names)
-        if self.wanted is not None:
-            found = tuple(k for k in found if k in self.wanted)
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = found
-        return found
+def _in_portion(data: np.ndarray, bounds: np.ndarray, wanted: np.ndarray | None):  # noqa: ANN202
+    """Row, bucket and count of the features of some bytes, and the words of each row.
 
-    def counts(self, words: list[str]) -> Counter[int]:
-        return Counter(chain.from_iterable(map(self.__getitem__, words)))
+    Every row ends with a space, so no word crosses rows.
+    """
+    n, rows = len(data), len(bounds) - 1
+    low = np.zeros(n + START, np.uint8)
+    np.take(_LETTER, data, out=low[:n])
+    there = low[:n] > 0
+    first = np.flatnonzero(there & ~np.concatenate([[False], there[:-1]]))
+    key, inside = low[first].astype(np.uint64), np.ones(len(first), bool)
+    for k in range(1, START):
+        letter = low[first + k]
+        inside &= letter > 0
+        key |= np.where(inside, letter, 0).astype(np.uint64) << np.uint64(8 * k)
+    space = _SPACE[data]
+    last = np.flatnonzero(~space[:-1] & space[1:])
+    before = np.where((last > 0) & ~space[last - 1], data[last - 1], 0).astype(np.uint64)
+    end = data[last].astype(np.uint64) | before << np.uint64(8) | np.uint64(1 << 40)
+    n_words = _rows_between(last, bounds)
+    at = (np.concatenate([key, end]) * _SPREAD >> np.uint64(64 - BITS)).astype(np.int64)
+    each = np.arange(rows)
+    row = np.concatenate([np.repeat(each, _rows_between(first, bounds)), np.repeat(each, n_words)])
+    if wanted is not None:
+        hit = wanted[at]
+        row, at = row[hit], at[hit]
+    both, count = np.unique(row << BITS | at, return_counts=True)
+    return both >> BITS, both & (BUCKETS - 1), count, n_words
+
+
+def features(texts: pa.Array, wanted: np.ndarray | None = None):  # noqa: ANN201
+    """Row, bucket and count of each feature of the texts, and the number of words of each text.
+
+    ``wanted``: a flag for each bucket; the others are left out.  Texts of about
+    PORTION_BYTES together are worked on at a time; a longer text is a portion of its own.
+    """
+    whole = pc.fill_null(texts.cast(pa.large_string()), "")
+    closed = pc.binary_join_element_wise(whole, *(pa.scalar(x, pa.large_string()) for x in ("", " ")))
+    empty = np.zeros(0, np.int64)
+    found = [(empty, empty, empty, empty)]
+    bounds = np.frombuffer(closed.buffers()[1], np.int64)[: len(closed) + 1] if len(closed) else empty
+    data = np.frombuffer(closed.buffers()[2], np.uint8) if len(closed) else empty
+    start = 0
+    while start < len(closed):
+        stop = int(np.searchsorted(bounds, bounds[start] + PORTION_BYTES, "right")) - 1
+        stop = min(max(stop, start + 1), len(closed))
+        part = data[bounds[start] : bounds[stop]]
+        row, at, count, words = _in_portion(part, bounds[start : stop + 1] - bounds[start], wanted)
+        found.append((row + start, at, count, words))
+        start = stop
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    buckets = Buckets()
     for batch in batches:
-        found = [buckets.counts((x.as_py() or "").split()) for x in batch.column("text")]
+        row, at, count, _ = features(batch.column("text"))
+        ends = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
         yield pa.record_batch({
             "label": batch.column("label"),
-            "at": pa.array([list(x) for x in found], pa.list_(pa.int32())),
-            "n": pa.array([list(x.values()) for x in found], pa.list_(pa.int32())),
+            "at": pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())),
+            "n": pa.ListArray.from_arrays(ends, pa.array(count, pa.int32())),
         })
 
 
@@ -194,23 +235,16 @@ def scored(docs: DataFrame, carry: list[str], text: str, outputs: int, wanted: n
     ``wanted``: the buckets that the models use.  ``score`` maps (buckets, values, rows, number of rows) to an array of probabilities.
     """
     names = [f"c{k}" for k in range(len(carry))]
+    flags = np.zeros(BUCKETS, bool)
+    flags[wanted] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = Buckets(wanted)
         for batch in batches:
-            found, n_words = [], []
-            for x in batch.column(batch.num_columns - 1):
-                words = (x.as_py() or "").split()
-                found.append(buckets.counts(words))
-                n_words.append(len(words))
-            sizes = list(map(len, found))
-            row = np.repeat(np.arange(len(found)), sizes)
-            at = np.fromiter(chain.from_iterable(found), np.int64, sum(sizes))
-            counts = chain.from_iterable(x.values() for x in found)
-            value = np.log1p(np.fromiter(counts, np.float64, sum(sizes)))
-            p = score(at, value, row, len(found))
+            row, at, count, n_words = features(batch.column(batch.num_columns - 1), flags)
+            value = np.log1p(count.astype(np.float64))
+            p = score(at, value, row, batch.num_rows)
             flat = pa.array(np.ascontiguousarray(p).reshape(-1), pa.float64())
-            ends = pa.array(np.arange(len(found) + 1, dtype=np.int32) * outputs)
+            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * outputs)
             yield pa.record_batch(
                 [*batch.columns[:-1], pa.array(n_words, pa.int64()), pa.ListArray.from_arrays(ends, flat)],
                 names=[*names, "n_words", "p"],
