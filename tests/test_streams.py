@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -110,12 +112,38 @@ def test_dimension_is_read_on_arrival(spark, sf_dir, tmp_path):
     assert {(r[0], r[1]) for r in got} == {(0, "old"), (1, "new")}
 
 
-def test_repeats_within_the_watermark_are_dropped(spark, sf_dir, events, tmp_path):
-    txn = views.as_transactions(stream(spark, events, 5))
-    unique = pipelines.without_repeats(txn.unionByName(txn), ["transaction_id"])
+def test_repeats_are_dropped_within_and_across_batches(spark, sf_dir, events, tmp_path):
+    def thinned(batch):
+        txn = views.as_transactions(batch)
+        return pipelines.without_repeats(txn.unionByName(txn), ["transaction_id"])
+
     out = str(tmp_path / "unique")
-    pipelines.append_files(unique, out, str(tmp_path / "cp")).awaitTermination()
-    assert spark.read.parquet(out).count() == views.txn(spark, sf_dir).count()
+    for again in ("cp1", "cp2"):
+        pipelines.write_batches(stream(spark, events, 2), thinned, out, str(tmp_path / again)).awaitTermination()
+    stored, n = spark.read.parquet(out), views.txn(spark, sf_dir).count()
+    assert stored.count() == 2 * n
+    assert pipelines.without_repeats(stored, ["transaction_id"]).count() == n
+
+
+@pytest.mark.parametrize("name", ["stream_hourly_watermark", "stream_dedup", "stream_hourly_revenue"])
+def test_stream_queries_read_a_folder_in_any_order(spark, sf_dir, tmp_path, monkeypatch, name):
+    """The table as a folder of files out of time order, a batch each."""
+    from tillflow import registry
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(6, "event_id").write.parquet(f"{tmp_path}/events.parquet")
+    want = rows_of(registry.queries()[name](spark, sf_dir))
+    whole = pipelines.stream_files
+    monkeypatch.setattr(pipelines, "stream_files", lambda *a: whole(*a, files_per_batch=1))
+    assert rows_of(registry.queries()[name](spark, str(tmp_path))) == want
+
+
+def test_batches_are_cut_by_bytes(spark, events, tmp_path):
+    size = max(f.stat().st_size for f in Path(events).glob("*.parquet"))
+    source = pipelines.stream_files(spark, events, spark.read.parquet(events).schema, bytes_per_batch=2 * size)
+    out = str(tmp_path / "out")
+    pipelines.write_batches(source, lambda b: b, out, str(tmp_path / "cp")).awaitTermination()
+    assert 2 <= spark.read.parquet(out).select("batch_id").distinct().count() <= 4
 
 
 def test_backfill_and_delta_make_the_whole_view(spark, sf_dir):

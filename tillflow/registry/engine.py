@@ -632,13 +632,10 @@ def _(spark, d):
 # -- streams ----------------------------------------------------------------
 
 
-def _event_stream(spark, d, batches: int = 4) -> DataFrame:
-    """The events as a stream of files that takes about ``batches`` batches."""
-    events = views.table(spark, d, "events")
-    folder = shared_dir(spark, "events")
-    files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    events.repartitionByRange(files, "ts").write.parquet(folder)
-    return pipelines.stream_files(spark, folder, events.schema, -(-files // batches))
+def _event_stream(spark, d) -> DataFrame:
+    """The events as a stream, read where they lie: one file, or a folder of files."""
+    # In braces the name is a pattern, which may match a file as well as a folder.
+    return pipelines.stream_files(spark, f"{d}/{{events.parquet}}", views.SCHEMAS["events"])
 
 
 def _run(spark, d, wanted: list, prepare=views.as_transactions) -> str:
@@ -737,15 +734,15 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    """Hourly totals kept in bounded stream state; the last update of an hour counts."""
-    events = views.table(spark, d, "events")
-    stream = pipelines.stream_files(spark, d, events.schema, pattern="events.parquet")
-    hours = pipelines.hourly_counts(views.as_transactions(stream))
+    """Hourly totals of each batch, added on reading; no row comes too late to count."""
     root = shared_dir(spark, "hours")
-    pipelines.write_updates(hours, f"{root}/out", f"{root}/_checkpoint").awaitTermination()
-    updates = spark.read.parquet(f"{root}/out")
-    newest = merges.latest_version(updates, ["hour"], "batch_id")
-    return newest.select("hour", "transactions", F.col("revenue").cast("decimal(38,2)").alias("revenue"))
+
+    def totals(batch):
+        return pipelines.hourly_counts(views.as_transactions(batch))
+
+    running = pipelines.write_batches(_event_stream(spark, d), totals, f"{root}/out", f"{root}/_checkpoint")
+    running.awaitTermination()
+    return pipelines.hourly_totals(spark.read.parquet(f"{root}/out"))
 
 
 @query(
@@ -753,14 +750,16 @@ def _(spark, d):
     select(f"SELECT status, {COUNT} AS transactions, {AMOUNT} AS revenue FROM txn GROUP BY 1", TXN),
 )
 def _(spark, d):
-    """Every event delivered twice, counted once."""
-    events = views.table(spark, d, "events")
-    stream = pipelines.stream_files(spark, d, events.schema, pattern="events.parquet")
-    txn = views.as_transactions(stream)
-    unique = pipelines.without_repeats(txn.unionByName(txn), ["transaction_id"])
+    """Every event delivered twice, counted once, whether in one batch or in two."""
     root = shared_dir(spark, "unique")
-    pipelines.append_files(unique, f"{root}/out", f"{root}/_checkpoint").awaitTermination()
-    stored = spark.read.parquet(f"{root}/out")
+
+    def thinned(batch):
+        txn = views.as_transactions(batch)
+        return pipelines.without_repeats(txn.unionByName(txn), ["transaction_id"])
+
+    running = pipelines.write_batches(_event_stream(spark, d), thinned, f"{root}/out", f"{root}/_checkpoint")
+    running.awaitTermination()
+    stored = pipelines.without_repeats(spark.read.parquet(f"{root}/out"), ["transaction_id"])
     return stored.groupBy("status").agg(
         F.count("*").alias("transactions"),
         F.sum("amount").cast("decimal(38,2)").alias("revenue"),

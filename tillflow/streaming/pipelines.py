@@ -18,20 +18,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.functions.times import yyyymm
+from tillflow.operators.merges import latest_version
+
+
+#: What one batch takes by default.
+BATCH_BYTES = 64 << 30
 
 
 def stream_files(
     spark: SparkSession,
-    folder: str,
+    path: str,
     schema,
-    files_per_batch: int = 1,
-    pattern: str | None = None,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int = BATCH_BYTES,
 ) -> DataFrame:
-    """Parquet files of a folder as a stream."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(folder)
+    """Parquet files as a stream, where they lie.
+
+    ``path`` is a folder, or a pattern of files and folders.  A batch takes files of about
+    ``bytes_per_batch`` together, or ``files_per_batch`` files if that is given.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        return reader.option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return reader.option("maxBytesPerTrigger", bytes_per_batch).parquet(path)
 
 
 def stream_id(checkpoint: str) -> str:
@@ -152,51 +161,46 @@ def joined_at_arrival(
     return prepare
 
 
-def hourly_counts(
-    stream: DataFrame, ts: str = "created_at", delay: str = "2 hours"
-) -> DataFrame:
-    """Hourly totals with bounded state: hours older than the watermark are
-    final and forgotten, rows arriving later than that are dropped."""
-    timed = stream.withColumn("_at", F.col(ts).cast("timestamp"))
-    return (
-        timed.withWatermark("_at", delay)
-        .groupBy(F.window("_at", "1 hour").alias("w"))
-        .agg(F.count("*").alias("transactions"), F.sum("amount").alias("revenue"))
-        .select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "transactions", "revenue")
+def hourly_counts(rows: DataFrame, ts: str = "created_at") -> DataFrame:
+    """Hourly totals of a batch; :func:`hourly_totals` adds those of all batches."""
+    return rows.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour")).agg(
+        F.count("*").alias("transactions"), F.sum("amount").alias("revenue")
     )
 
 
-def without_repeats(
-    stream: DataFrame, keys: Sequence[str], ts: str = "created_at", delay: str = "2 hours"
-) -> DataFrame:
-    """First arrival of every key; keys are remembered as long as the watermark."""
-    timed = stream.withColumn("_at", F.col(ts).cast("timestamp"))
-    return (
-        timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_at")
+def hourly_totals(stored: DataFrame) -> DataFrame:
+    """Totals of each hour over the batches, however late its rows came."""
+    return stored.groupBy("hour").agg(
+        F.sum("transactions").alias("transactions"),
+        F.sum("revenue").cast("decimal(38,2)").alias("revenue"),
     )
 
 
-def write_updates(result: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Store the changed rows of each batch in the batch's own folder."""
+def without_repeats(rows: DataFrame, keys: Sequence[str], version: str = "created_at") -> DataFrame:
+    """The newest row of every key.
 
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    Applied to each batch it thins out what is stored; applied to the stored rows it
+    settles repeats of different batches.  Nothing is forgotten and no row is too late.
+    """
+    return latest_version(rows, keys, version)
 
-    return (
-        result.writeStream.outputMode("update")
-        .foreachBatch(keep)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
 
+def write_batches(
+    stream: DataFrame,
+    prepare: Callable[[DataFrame], DataFrame],
+    root: str,
+    checkpoint: str,
+    **trigger,
+) -> StreamingQuery:
+    """Store what ``prepare`` makes of each batch in the batch's own folder."""
+    stream_name = stream_id(checkpoint)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        target = f"{root}/stream={stream_name}/batch_id={batch_id}"
+        prepare(batch).write.mode("overwrite").parquet(target)
 
-def append_files(result: DataFrame, target: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Plain append to a Parquet folder (exactly once by the file sink's log)."""
     return (
-        result.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", target)
+        stream.writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
