@@ -174,10 +174,12 @@ class Codes:
     """The ids, bytes and decimal ids of every distinct piece of some texts."""
 
     def __init__(self, vocab: Vocabulary, texts: list[str]) -> None:
-        self.pieces = [vocab.split(t) for t in texts]
-        distinct: dict[str, None] = {}
-        for pieces in self.pieces:
-            distinct.update(dict.fromkeys(pieces))
+        # Equal pieces of all texts are one string in memory.
+        distinct: dict[str, str] = {}
+        self.pieces = []
+        for text in texts:
+            pieces = vocab.split(text)
+            self.pieces.append(list(map(distinct.setdefault, pieces, pieces)))
         plain = [p for p in distinct if p not in vocab.added]
         ids, cuts = vocab.encode(plain) if plain else (np.array([], np.int64), np.array([0]))
         flat, cuts = ids.tolist(), cuts.tolist()
