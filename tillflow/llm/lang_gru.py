@@ -3,8 +3,9 @@
 The network reads windows of ``WINDOW`` bytes in both directions and labels every byte;
 a document's probabilities are the means over all its bytes.  It is trained in numpy by
 backpropagation through time on at most ``PER_LANG`` documents of each language, chosen by
-a hash, among those whose crc32(doc_id as text) mod 5 isn't 0; prediction covers every byte
-of every text.  Only the text is an input of a prediction.
+a hash, among those whose crc32(doc_id as text) mod 5 isn't 0; tasks draw ``PER_DOC`` windows
+from the whole text of each, and only these windows come to the driver.  Prediction covers
+every byte of every text.  Only the text is an input of a prediction.
 
 Defined results: a null text or one without a letter is ``und`` with score 0.  Without any
 row to learn from everything is ``und``.  A row without a doc_id counts as held out.  At
@@ -119,19 +120,27 @@ def windows(raw: bytes, size: int) -> np.ndarray:
     return out.reshape(rows, size)
 
 
-def train(texts: list[str], langs: list[int], n_langs: int) -> Network:
-    """A network from texts and the numbers of their languages."""
+def drawn(text: str, key: int) -> np.ndarray:
+    """PER_DOC windows of TRAIN_BYTES of the whole text, drawn by ``key``."""
+    rows = windows(text.encode("utf-8", "replace"), TRAIN_BYTES)
+    return rows[np.random.default_rng(key % (1 << 63)).permutation(len(rows))[:PER_DOC]]
+
+
+def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = batch.column("key").to_pylist()
+        parts = [drawn(t.as_py(), k).tolist() for t, k in zip(batch.column("text"), keys)]
+        yield pa.record_batch(
+            [batch.column("lang"), batch.column("key"), pa.array(parts, pa.list_(pa.list_(pa.int16())))],
+            names=["lang", "key", "parts"],
+        )
+
+
+def train(x: np.ndarray, y: np.ndarray, n_langs: int) -> Network:
+    """A network from windows and the numbers of their languages."""
     rng, network = np.random.default_rng(11), Network(n_langs)
-    parts, owners = [], []
-    for text, lang in zip(texts, langs):
-        rows = windows(text.encode("utf-8", "replace"), TRAIN_BYTES)
-        if len(rows):
-            picked = rng.permutation(len(rows))[:PER_DOC]
-            parts.append(rows[picked])
-            owners += [lang] * len(picked)
-    if not parts:
+    if not len(y):
         return network
-    x, y = np.concatenate(parts), np.array(owners)
     params = network.params()
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, STEPS + 1):
@@ -158,19 +167,20 @@ def fitted(docs: DataFrame, doc_id: str, text: str, lang: str) -> tuple[list[str
     order = F.xxhash64("id", F.lit("lang"))
     rows = (
         known.where(F.pmod(order, F.lit(1_000_003)) < limit)
-        .orderBy(order, F.xxhash64("text"))
+        .select("lang", F.xxhash64("id", F.lit("lang"), "text").alias("key"), "text")
+        .mapInArrow(_drawn, "lang string, key long, parts array<array<short>>")
+        .orderBy(F.pmod("key", F.lit(1_000_003)), "key")
         .limit(2 * PER_LANG * len(counts))
-        .select("lang", F.substring("text", 1, 1 << 16).alias("text"))
         .collect()
     )
     names = [r["lang"] for r in counts]
-    taken, texts, owners = dict.fromkeys(names, 0), [], []
+    taken, parts, owners = dict.fromkeys(names, 0), [np.zeros((0, TRAIN_BYTES), np.int16)], []
     for r in rows:
         if taken[r["lang"]] < PER_LANG:
             taken[r["lang"]] += 1
-            texts.append(r["text"])
-            owners.append(names.index(r["lang"]))
-    return names, train(texts, owners, len(names))
+            parts.append(np.array(r["parts"], np.int16))
+            owners += [names.index(r["lang"])] * len(r["parts"])
+    return names, train(np.concatenate(parts), np.array(owners, int), len(names))
 
 
 def _pooled(network: Network, texts: list[str | None]) -> np.ndarray:

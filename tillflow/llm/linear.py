@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
 from tillflow.llm.common import col, stored
 
@@ -101,7 +101,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, at, count, _ = features(batch.column("text"))
         ends = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
         yield pa.record_batch({
-            "label": batch.column("label"),
+            **{name: batch.column(name) for name in ("chosen", "label_id", "rest", "label")},
             "at": pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())),
             "n": pa.ListArray.from_arrays(ends, pa.array(count, pa.int32())),
         })
@@ -120,7 +120,8 @@ class Sample:
 def sample(docs: DataFrame, labelled: DataFrame, label: Column, doc_id: str, text: str) -> Sample:
     """At most about FIT_ROWS rows with a label (a list of ints), in the order of a hash.
 
-    A label of a doc_id that several rows have belongs to each of them.
+    A label of a doc_id that several rows have belongs to each of them.  Features are taken
+    before the rows are put in order, so that texts stay in the tasks that read them.
     """
     known = labelled.select(col("doc_id").alias("label_id"), label.alias("label")).where(
         "label IS NOT NULL AND label_id IS NOT NULL"
@@ -129,13 +130,17 @@ def sample(docs: DataFrame, labelled: DataFrame, label: Column, doc_id: str, tex
     order = F.xxhash64("label_id", F.lit("fit"))
     if n > FIT_ROWS:
         known = known.where(F.pmod(order, F.lit(1_000_003)) < int(1_000_003 * FIT_ROWS / n))
-    rows = (
+    texts = (
         docs.select(col(doc_id).alias("label_id"), col(text).alias("text"))
         .join(known, "label_id")
-        .orderBy(order, "label_id", F.xxhash64("text"))
+        .select(order.alias("chosen"), "label_id", F.xxhash64("text").alias("rest"), "label", "text")
+    )
+    schema = texts.drop("text").schema.add("at", ArrayType(IntegerType())).add("n", ArrayType(IntegerType()))
+    rows = (
+        texts.mapInArrow(_extracted, schema)
+        .orderBy("chosen", "label_id", "rest")
         .limit(2 * FIT_ROWS)
-        .select("label", "text")
-        .mapInArrow(_extracted, "label array<int>, at array<int>, n array<int>")
+        .select("label", "at", "n")
         .toArrow()
     )
     lists = [rows[x].combine_chunks() for x in ("label", "at", "n")]
