@@ -17,15 +17,25 @@ FOOTER_SCHEMA = (
 
 
 def per_file(df: DataFrame, partition: Column | str) -> DataFrame:
-    """Rows and size of every file; only the partition key is read."""
+    """Rows and size of every file; only the partition key is read.
+
+    A file that holds several partitions is an error, as its bytes belong to none of them.
+    """
     meta = df.select(
         (F.col(partition) if isinstance(partition, str) else partition).alias("partition"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("bytes"),
     )
-    return meta.groupBy("partition", "file").agg(
-        F.count("*").alias("rows"), F.max("bytes").alias("bytes")
+    key = F.struct("partition")  # in a struct, a null counts as a value
+    files = meta.groupBy("file").agg(
+        F.min(key).alias("low"),
+        F.max(key).alias("high"),
+        F.count("*").alias("rows"),
+        F.max("bytes").alias("bytes"),
     )
+    mixed = F.raise_error(F.concat(F.lit("file holds several partitions: "), F.col("file")))
+    one = F.when(F.col("low").eqNullSafe(F.col("high")), F.col("low")["partition"])
+    return files.select(one.otherwise(mixed).alias("partition"), "file", "rows", "bytes")
 
 
 def partition_stats(df: DataFrame, partition: Column | str) -> DataFrame:

@@ -26,7 +26,7 @@ from tillflow.registry.sql_views import (
     select,
     total,
 )
-from tillflow.session import shared_dir
+from tillflow.session import built, shared_dir
 from tillflow.sources import views
 from tillflow.sources.schemas import PAYMENT_METRIC
 from tillflow.streaming import pipelines
@@ -42,8 +42,19 @@ BACKFILL_CUT = datetime(2024, 1, 15)
 # -- aggregate states -------------------------------------------------------
 
 
+def _states(spark, d, view) -> DataFrame:
+    """What a view has stored; the refresh job fills it at the first use."""
+
+    def refresh(root: str) -> None:
+        pipelines.refresh(
+            _event_stream(spark, d), [view], root, f"{root}/_checkpoint", views.as_transactions
+        )
+
+    return pipelines.stored(spark, view, built(spark, d, f"view-{view.name}", refresh))
+
+
 def _metric_states(spark, d) -> DataFrame:
-    return maintained.payment_metrics().delta(views.txn(spark, d))
+    return _states(spark, d, maintained.payment_metrics())
 
 
 @query(
@@ -57,7 +68,8 @@ def _metric_states(spark, d) -> DataFrame:
     ),
 )
 def _(spark, d):
-    return _metric_states(spark, d).drop("unique_users_hll", "amount_kll")
+    states = maintained.payment_metrics().delta(views.txn(spark, d))
+    return states.drop("unique_users_hll", "amount_kll")
 
 
 _SKETCHED = ("unique_customers", "median_transaction", "p99_transaction")
@@ -76,7 +88,7 @@ _PLAIN = ("total_amount", "transaction_count", "avg_amount", "min_amount", "max_
 def _(spark, d):
     view = maintained.payment_metrics()
     wanted = [m for m in view.measures if m.name in ("total_amount", "transaction_count", "avg_amount")]
-    merged = read_states(view.delta(views.txn(spark, d)), ["merchant_id"], wanted)
+    merged = read_states(_metric_states(spark, d), ["merchant_id"], wanted)
     return (
         merged.select(
             "merchant_id",
@@ -103,7 +115,7 @@ def _(spark, d):
     view = maintained.payment_metrics()
     names = ("total_amount", "transaction_count", "unique_users", "amount_p50")
     wanted = [m for m in view.measures if m.name in names]
-    states = view.delta(views.txn(spark, d)).where(F.col("merchant_id") == MERCHANT_ID)
+    states = _metric_states(spark, d).where(F.col("merchant_id") == MERCHANT_ID)
     return (
         read_states(states, ["metric_date"], wanted)
         .select(
@@ -150,15 +162,14 @@ def _full_statistics(states: DataFrame) -> DataFrame:
     ),
 )
 def _(spark, d):
-    recent = last_days(views.txn(spark, d), 30, AS_OF)
-    return _full_statistics(maintained.payment_metrics().delta(recent)).drop(*_SKETCHED)
+    recent = last_days(_metric_states(spark, d), 30, AS_OF, ts="metric_date")
+    return _full_statistics(recent).drop(*_SKETCHED)
 
 
 @query("state_merge_full_sketches")
 def _(spark, d):
     """The same with users and percentiles, which are estimates in large groups."""
-    recent = last_days(views.txn(spark, d), 30, AS_OF)
-    return _full_statistics(maintained.payment_metrics().delta(recent))
+    return _full_statistics(last_days(_metric_states(spark, d), 30, AS_OF, ts="metric_date"))
 
 
 @query(
@@ -192,7 +203,7 @@ def _(spark, d):
     """Merchants and users per category, merged from daily sketches per status."""
     view = maintained.category_stats()
     counts = [m for m in view.measures if m.name.startswith("unique_")]
-    return read_states(view.delta(views.txn(spark, d)), ["category"], counts)
+    return read_states(_states(spark, d, view), ["category"], counts)
 
 
 @query("quantile_state_merge")
@@ -497,7 +508,7 @@ def _(spark, d):
 )
 def _(spark, d):
     view = maintained.hourly_revenue()
-    states = last_hours_rolling(view.delta(views.txn(spark, d)), 7, AS_OF, ts="hour")
+    states = last_hours_rolling(_states(spark, d, view), 7, AS_OF, ts="hour")
     return (
         view.read(states)
         .select(
@@ -561,13 +572,13 @@ def _(spark, d):
 
 @query("mv_backfill", select(f"{_HOURLY} GROUP BY 1, 2, 3", TXN))
 def _(spark, d):
-    """History filled in batch, later rows as a delta: together the whole view."""
+    """History filled in batch, later rows as a delta: together the whole stored view."""
     txn = views.txn(spark, d)
-    view = maintained.hourly_revenue()
-    cut = moment(BACKFILL_CUT)
-    history = view.delta(txn.where(F.col("created_at") < cut))
-    fresh = view.delta(txn.where(F.col("created_at") >= cut))
-    return view.read(history.unionByName(fresh))
+    view, root = maintained.hourly_revenue(), shared_dir(spark, "backfill")
+    old = F.coalesce(F.col("created_at") < moment(BACKFILL_CUT), F.lit(False))
+    pipelines.write_delta(view, txn.where(old), root, 0)
+    pipelines.write_delta(view, txn.where(~old), root, 0, "live")
+    return view.read(pipelines.stored(spark, view, root))
 
 
 def _chained(level: str) -> str:
@@ -581,9 +592,9 @@ def _chained(level: str) -> str:
 
 
 def _chain(spark, d):
-    """Hour states, merged into days."""
+    """Stored hour states, merged into days."""
     view = maintained.hourly_revenue()
-    hours = view.delta(views.txn(spark, d))
+    hours = _states(spark, d, view)
     days = view.roll_up(hours, ["merchant_id", "category", times.day("hour").alias("day")])
     return view, days
 

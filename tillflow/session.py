@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -17,7 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Sketch states go through ObjectHashAggregate.  The default of 128 groups
     # per task sends almost every state build into the sort-based fallback (10-15 %
-    # slower here); a thousand groups of at most 100 KB each fit a task's heap.
+    # slower here).  The largest groups are those of category_stats: two sketches of
+    # 66 KB and one of 50 KB, so a thousand of them take about 185 MB of a task's heap.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Keyed stream state (watermarked hours, remembered ids) can outgrow the heap.
@@ -81,6 +83,23 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+#: Folders that jobs of an application have built, by application, input and purpose.
+_BUILT: dict[tuple[str, str, str], str] = {}
+
+
+def built(spark: SparkSession, source: str, purpose: str, build: Callable[[str], None]) -> str:
+    """The folder that ``build`` fills from ``source``, at the first call in an application.
+
+    Later calls read what is stored.  A build that fails isn't remembered.
+    """
+    key = (spark.sparkContext.applicationId, source, purpose)
+    if key not in _BUILT:
+        path = shared_dir(spark, purpose)
+        build(path)
+        _BUILT[key] = path
+    return _BUILT[key]
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder made by :func:`shared_dir` once it is no longer needed."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

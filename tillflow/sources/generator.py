@@ -6,6 +6,7 @@ how many tasks make them, and a task that runs again makes the same rows.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -23,21 +24,26 @@ from tillflow.sources.schemas import (
     STATUS_WEIGHTS,
 )
 
+# Fixed value of the size estimate.
 BYTES_PER_ROW = 120
 
 
 @dataclass(frozen=True)
 class Generator:
+    """Without a seed each generator draws its own, so that ids of two loads differ."""
+
     users: int = 10_000
     merchants: int = 1_000
     days: int = 90
-    seed: int = 0
+    seed: int | None = None
     as_of: datetime | None = None
 
     def __post_init__(self) -> None:
         positive("users", self.users)
         positive("merchants", self.merchants)
         positive("days", self.days)
+        if self.seed is None:
+            object.__setattr__(self, "seed", secrets.randbits(63))
         if isinstance(self.seed, bool) or not isinstance(self.seed, int):
             raise ValueError(f"seed must be an integer, got {type(self.seed).__name__}")
 

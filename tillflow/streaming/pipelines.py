@@ -97,6 +97,20 @@ def maintain(
     )
 
 
+def refresh(
+    stream: DataFrame,
+    views: Sequence,
+    root: str,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Add what is new in the stream's source to every view, and return when it is stored.
+
+    The checkpoint knows which files were taken, so a repeated refresh reads only new ones.
+    """
+    maintain(stream, views, root, checkpoint, prepare).awaitTermination()
+
+
 def _of_batches(rows: DataFrame, up_to: int | dict[str, int]) -> Column:
     """Batches up to a number; for several streams a number for each of them."""
     if isinstance(up_to, dict):

@@ -46,6 +46,15 @@ class RowView:
     def delta(self, rows: DataFrame) -> DataFrame:
         return rows.select(*self.columns())
 
+    @property
+    def keys(self) -> tuple[str, ...]:
+        """What compacted files are ranged by."""
+        return (self.month_of,)
+
+    def merge(self, target: DataFrame) -> DataFrame:
+        """The same rows in ranges of time, so that the files of many batches become few."""
+        return target.drop("batch_id", "ym").repartitionByRange(*self.keys)
+
     def read(self, target: DataFrame) -> DataFrame:
         return target
 
