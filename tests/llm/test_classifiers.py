@@ -111,6 +111,26 @@ def test_language_odd_rows(spark):
     assert lang_gru.predicted(df.limit(0)).collect() == []
 
 
+def test_windows_are_drawn_from_the_whole_text():
+    text = "".join(chr(97 + k % 26) for k in range(64 * 50))
+    raw, places = text.encode(), set()
+    for key in range(-20, 20):
+        rows = lang_gru.drawn(text, key)
+        assert rows.shape == (lang_gru.PER_DOC, lang_gru.TRAIN_BYTES)
+        assert (rows == lang_gru.drawn(text, key)).all()
+        places |= {raw.find(bytes(r.astype(np.uint8))) for r in rows}
+    assert len(places) > 5 and -1 not in places
+    assert lang_gru.drawn("é", 1).tolist()[0][:3] == [0xC3, 0xA9, lang_gru.PAD]
+
+
+def test_repeated_ids_keep_their_labels(spark):
+    docs = spark.createDataFrame([(1, "one two"), (1, "one two"), (2, None), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (None, 1)], "doc_id long, toxic int")
+    data = linear.sample(docs, labels, F.array("toxic"), "doc_id", "text")
+    assert sorted(data.labels[:, 0].tolist()) == [0, 1, 1]
+    assert np.bincount(data.row, minlength=3).tolist() in ([0, 4, 4], [4, 0, 4], [4, 4, 0])
+
+
 def test_gradients_match_differences():
     x, y = lang_gru.windows(b"hello world some bytes", 8), np.array([0, 1, 2])
     net = lang_gru.Network(4)
