@@ -88,6 +88,29 @@ def test_rates_equal_a_plain_solution(spark):
     assert np.allclose(got, r, atol=1e-3)
 
 
+@pytest.mark.parametrize("soft", [(2, 1, 1), (8, 2, 1), (20, 5, 2)])
+@pytest.mark.parametrize("most", [None, 1.0])
+def test_rates_are_settled(spark, soft, most):
+    """The conditions of the optimum hold: each rate follows from the misses that all rates make."""
+    rng = np.random.default_rng(3)
+    p, n = rng.dirichlet(soft, 400), rng.integers(1, 50, 400)
+    rows = [(k, int(a), [float(y) for y in x]) for k, (a, x) in enumerate(zip(n, p))]
+    df = spark.createDataFrame(rows, "k int, n_words long, p array<double>")
+    out = mixing.with_rates(df, mixing.TARGETS, most, None if most is None else "clean")
+    got = np.array([r.rate for r in out.orderBy("k").collect()])
+    share, want = (n[:, None] * p).sum(0) / n.sum(), np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
+    want = want if most is None else want * share[0] / want[0]
+    miss = ((got * n) @ p / n.sum() - want) / share
+    assert np.allclose(got, np.clip(1 - p @ miss / mixing.PULL, 0, most), atol=1e-3)
+
+
+def test_rates_that_do_not_settle_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROUNDS", 1)
+    df = spark.createDataFrame([(5, [0.5, 0.3, 0.2]), (3, [0.2, 0.2, 0.6])], "n_words long, p array<double>")
+    with pytest.raises(RuntimeError, match="not settled"):
+        mixing.with_rates(df, mixing.TARGETS)
+
+
 def test_mixed_keeps_columns_and_clean_documents(docs, labels):
     wide = docs.withColumn("rate", F.lit("own")).withColumn("p", F.lit(1))
     out = mixing.mixed(wide, labels)
