@@ -120,6 +120,18 @@ def test_mixed_keeps_columns_and_clean_documents(docs, labels):
     assert out.count() < docs.count() and mixing.mixed(docs.limit(0), labels).count() == 0
 
 
+def test_mixed_keeps_every_clean_document(spark, docs, labels, monkeypatch):
+    clean = labels.where("quality = 1 AND toxic = 0")
+    assert mixing.mixed(docs, labels).join(clean, "doc_id").count() == docs.join(clean, "doc_id").count()
+    p = {k: [0.76, 0.14, 0.10] if k < 870 else [0.2, 0.7, 0.1] if k < 970 else [0.1, 0.1, 0.8] for k in range(1000)}
+    rows = [(k, f"text {k}", 50, x) for k, x in p.items()]
+    soft = spark.createDataFrame(rows, "d0 int, d1 string, n_words long, p array<double>")
+    monkeypatch.setattr(mixing, "posteriors", lambda *_: soft)
+    known = spark.createDataFrame([(k, 1, 0) for k in range(990, 1000)], "doc_id int, quality int, toxic int")
+    left = {r.doc_id for r in mixing.mixed(soft.selectExpr("d0 AS doc_id", "d1 AS text"), known).collect()}
+    assert left >= {*range(870), *range(990, 1000)} and len(left) < 950
+
+
 def test_language_on_held_out_rows(docs):
     rows = lang_gru.predicted(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)

@@ -60,8 +60,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, carry: list[str], doc_id: str
 
 
 def with_rates(found: DataFrame, targets: dict[str, float], max_rate: float | None = None,
-               anchor: str | None = None) -> DataFrame:
-    """``found`` (n_words, p) with the column rate.
+               anchor: str | None = None, held: Column | None = None) -> DataFrame:
+    """``found`` (n_words, p) with the column rate; rows that are ``held`` have rate 1.
 
     The mix shall have as many tokens as all documents, or, with an ``anchor``, as many as
     make that domain's target equal to the tokens it has.
@@ -85,7 +85,7 @@ def with_rates(found: DataFrame, targets: dict[str, float], max_rate: float | No
 
     def weighed(pressure: np.ndarray):  # noqa: ANN202
         """The dual objective, its gradient, its curvature and the tokens of each domain."""
-        force, rate, free = _rate(pressure, max_rate)
+        force, rate, free = _rate(pressure, max_rate, held)
         rows = found.select(tokens.alias("w"), "p", force.alias("t"), rate.alias("r"), free.alias("free"))
         pairs = [(j, k) for j in range(n) for k in range(j, n)]
         w, r, t = F.col("w"), F.col("r"), F.col("t")
@@ -123,15 +123,17 @@ def with_rates(found: DataFrame, targets: dict[str, float], max_rate: float | No
         raise RuntimeError(f"rates not settled after {ROUNDS} rounds: {np.abs(slope / share[on]).max():.3g} left")
     if np.abs(now - want)[on].max() > UNMET:
         _LOG.warning("targets can't be met within the bounds of rates: wanted %s, got %s", want.tolist(), now.tolist())
-    return found.withColumn("rate", _rate(pressure, max_rate)[1])
+    return found.withColumn("rate", _rate(pressure, max_rate, held)[1])
 
 
-def _rate(pressure: np.ndarray, max_rate: float | None) -> tuple[Column, Column, Column]:
+def _rate(pressure: np.ndarray, max_rate: float | None, held: Column | None) -> tuple[Column, Column, Column]:
     """What pushes a rate down, the rate, and whether it is within its bounds."""
     force = total([F.get("p", k) * F.lit(float(x)) for k, x in enumerate(pressure)])
     rate, free = F.greatest(F.lit(0.0), 1 - force), force < 1
     if max_rate is not None:
         rate, free = F.least(F.lit(float(max_rate)), rate), free & (1 - force < F.lit(float(max_rate)))
+    if held is not None:
+        rate, free = F.when(held, 1.0).otherwise(rate), free & ~held
     return force, rate, free
 
 
@@ -159,10 +161,20 @@ def assigned(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | Non
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
           doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` thinned out to the targets; no row comes twice and the clean domain stays."""
+    """``docs`` thinned out to the targets; no row comes twice and the clean domain stays.
+
+    A document stays when ``clean`` is its likeliest domain or its label; only the others'
+    rates are moved to meet the targets.
+    """
     plain = docs.select(*[col(c).alias(f"d{k}") for k, c in enumerate(docs.columns)])
     at = {c: f"d{k}" for k, c in enumerate(docs.columns)}
     found = posteriors(plain, labels, list(at.values()), at[doc_id], at[text])
-    rated = with_rates(found, targets or TARGETS, max_rate=1.0, anchor="clean")
-    kept = rated.where(copies(F.col("rate"), F.col(at[doc_id]), F.xxhash64(at[text])) > 0)
+    clean = DOMAINS.index("clean")
+    likely = F.get("p", clean) >= F.array_max("p")
+    rated = with_rates(found, targets or TARGETS, max_rate=1.0, anchor="clean", held=likely)
+    drawn = copies(F.col("rate"), F.col(at[doc_id]), F.xxhash64(at[text])) > 0
+    known = labels.where(F.get(domain_label(), 0) == clean).select(col("doc_id").alias("known_id"))
+    names = list(at.values())
+    saved = rated.where(~drawn).select(names).join(known, F.col(at[doc_id]) == F.col("known_id"), "left_semi")
+    kept = rated.where(drawn).select(names).unionByName(saved)
     return kept.select(*[F.col(v).alias(c) for c, v in at.items()])
