@@ -70,5 +70,24 @@ def test_pages_table(spark, sf_dir):
         assert got[page_id][0] == "\n".join(x for x in parts if x)
 
 
+def visible(source):
+    return [b.text for b in html_templates.read(source).blocks if not b.away]
+
+
+def test_hidden_elements_without_an_end_tag():
+    rest = "<article><p>One</p><p>Two</p></article><footer><svg><text>no</text></svg><button>B</button></footer>"
+    for start in ("<svg/>", "<svg class='i' />", "<svg>", "<div><svg></div>", "<button>Menu", "<object data=x>no", "<video src=/a/>",
+                  "<datalist><option value=a><option>b</datalist>", "<head><title>t</title>", "<head><title>t</title><body>",
+                  "<title>t", "<textarea>t", "<iframe src='x'/>", "<select><option>a<option>b</select>"):
+        assert visible(start + rest) == ["One", "Two"], start
+
+
+def test_hidden_elements_with_an_end_tag():
+    for inner in ("<svg><path d=''/><text>no</text></svg>", "<video><p>no</p></video>", "<noscript><div>no</div></noscript>",
+                  "<template><p>no</p></template>", "<button><b>no</b></button>", "<script>'<p>'</script>",
+                  "<object><object>no</object>no</object>", "<title>no</title >"):
+        assert visible(f"<div><p>One {inner} and</p><p>two</p></div>") == ["One and", "two"], inner
+
+
 def test_empty(spark):
     assert ours(spark, []) == {}

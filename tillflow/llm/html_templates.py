@@ -39,8 +39,10 @@ MOST_FIXED = 0.5
 
 # Names of the HTML standard and of common page parts.
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
-_RAW = set("script style noscript template svg math head title textarea select option "
-           "iframe object canvas audio video button".split())
+_RAW = set("script style textarea title iframe noembed noframes xmp".split())
+#: Elements whose content is no text of the page; markup inside them is read as such.
+_HIDDEN = set("head noscript template svg math select optgroup option datalist object canvas audio "
+              "video button".split())
 _BLOCK = set("html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre "
              "blockquote table thead tbody tfoot tr td th figure figcaption header footer nav "
              "aside form fieldset address details summary hr".split())
@@ -95,13 +97,36 @@ def _is_part(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     return False
 
 
+def _closed(attributes: str) -> bool:
+    """Whether a start tag ends with a slash that is not part of an unquoted value."""
+    rest = attributes.rstrip()
+    last = rest[:-1].split()[-1:]
+    return rest.endswith("/") and not (last and "=" in last[0] and rest[-2] not in "\"' \t\r\n\f")
+
+
 def read(source: str | None) -> Page:
-    """The blocks and block elements of a page, in their order."""
-    page, text = Page(), source or ""
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, away, in article
+    """The blocks and block elements of a page, in their order.
+
+    A hidden element lasts until its end tag; without one before the end of its parent, until
+    the next block.
+    """
+    endless: set[int] = set()
+    while True:
+        page, more = _read(source or "", endless)
+        if not more:
+            return page
+        endless |= more
+
+
+def _read(text: str, endless: set[int]) -> tuple[Page, set[int]]:
+    """The page, and where hidden elements begin that turn out to have no end tag; those in
+    ``endless`` are known not to have one."""
+    page, more = Page(), set()
+    stack: list[tuple[str, str, bool, bool, int]] = []  # tag, path, away, in article, where if hidden or -1
     here: list[str] = []
-    linked = links = at = 0
+    linked = links = at = hidden = 0
     position = ("", False, False)
+    raw_ends: dict[str, int] = {}
 
     def flush() -> None:
         nonlocal here, linked
@@ -112,10 +137,22 @@ def read(source: str | None) -> Page:
 
     def say(piece: str) -> None:
         nonlocal linked
+        if hidden:
+            return
         here.append(piece)
         if links:
             linked += len(piece)
 
+    def cut(k: int) -> None:
+        """Close what is open from place ``k`` of the stack on; its own end tag closes the first."""
+        nonlocal hidden
+        for x in stack[k:]:
+            if x[4] >= 0:
+                hidden -= 1
+                if x[4] not in endless:
+                    more.add(x[4])
+        del stack[k:]
+
     while at < len(text):
         found = _TOKEN.search(text, at)
         if found is None:
@@ -127,42 +164,71 @@ def read(source: str | None) -> Page:
         closing, tag = found[1] or found[4], (found[2] or found[5] or "").lower()
         if not tag:
             continue
-        if tag in _RAW and not closing:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(text, at)
-            if tag == "head" and end is None:  # never closed: the body ends it
-                end = re.compile(r"(?=<body[\s>])", re.I).search(text, at)
-            at = end.end() if end else len(text)
+        source = found[3] or found[6] or ""
+        if tag in _RAW:
+            if not closing and not _closed(source):
+                if raw_ends.get(tag, 0) != len(text) + 1:
+                    end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(text, at)
+                    if end:
+                        at = end.end()
+                        continue
+                    raw_ends[tag] = len(text) + 1
+                if tag in ("script", "style"):
+                    at = len(text)
+                elif not hidden:  # never closed: the next block ends it
+                    endless.add(found.start())
+                    stack.append((tag, *(stack[-1][1:4] if stack else ("", False, False)), found.start()))
+                    hidden += 1
             continue
-        if tag == "a":
+        if tag in _HIDDEN:
+            if closing:
+                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
+                if k is not None:
+                    cut(k + 1)
+                    hidden -= 1
+                    del stack[k]
+            elif not _closed(source) and not (tag == "head" and found.start() in endless):
+                stack.append((tag, *(stack[-1][1:4] if stack else ("", False, False)), found.start()))
+                hidden += 1
+            continue
+        if tag == "a" and not hidden:
             links = 0 if closing else 1
         if tag == "br":
             say(" ")
         if tag not in _BLOCK:
             continue
-        flush()
+        while stack and stack[-1][4] in endless:
+            cut(len(stack) - 1)
+        if not hidden:
+            flush()
         if closing:
             open_at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
             if open_at is not None:
-                del stack[open_at:]
+                cut(open_at)
         else:
             for k in range(len(stack) - 1, -1, -1):
+                if stack[k][4] >= 0:
+                    break
                 if stack[k][0] in _CLOSES.get(tag, ()) or (stack[k][0] == "p" and tag not in _VOID):
-                    del stack[k:]
+                    cut(k)
                     break
                 if stack[k][0] in _KEEPS:
                     break
-            attributes = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(found[3] or found[6] or "")}
-            parent = stack[-1] if stack else ("", "", False, False)
+            attributes = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(source)}
+            parent = stack[-1] if stack else ("", "", False, False, -1)
             label = ".".join([tag, *sorted(attributes.get("class", "").split())])
             path = f"{parent[1]}>{label}"[:500]
-            page.elements.append(path)
+            if not hidden:
+                page.elements.append(path)
             if tag not in _VOID:
                 inside = parent[3] or tag in ("article", "main")
                 away = parent[2] or _is_part(tag, attributes, parent[3])
-                stack.append((tag, path, away, inside))
-        position = stack[-1][1:] if stack else ("", False, False)
+                stack.append((tag, path, away, inside, -1))
+        if not hidden:
+            position = stack[-1][1:4] if stack else ("", False, False)
+    cut(0)
     flush()
-    return page
+    return page, more
 
 
 def _key(kind: str, *parts: str) -> int:
