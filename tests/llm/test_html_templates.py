@@ -70,6 +70,25 @@ def test_pages_table(spark, sf_dir):
         assert got[page_id][0] == "\n".join(x for x in parts if x)
 
 
+def test_all_slots_without_an_article_element(spark):
+    """Heading, intro and body in divs of their own, long class lists, a neighbour that is no article."""
+    long = " ".join(f"utility-class-{x:03d}" for x in range(12))
+    rows = [
+        (k, "http://d.example/", f"<body><div class='{long}'><div class='{long}'><div class='{long}'><div>Fixed line of the site that is longer than the rest</div>"
+         f"<div class=lead><h1>Title {k}</h1></div><div class=text>Intro {k}<section><p>Long text {k} of it, more than others.</p>"
+         f"<p><a href=/>Linked {k}</a></p></section></div><div class=sidebar>Side {k}</div></div></div></div>")
+        for k in range(7)
+    ]
+    want = "Title 3\nIntro 3\nLong text 3 of it, more than others.\nLinked 3"
+    assert ours(spark, rows)[3][0] == want
+
+
+def test_deep_paths_differ():
+    deep = "<div class='" + "c" * 200 + "'>"
+    blocks = html_templates.read(f"{deep * 4}<p>one</p><h2>two</h2><div><p>three</p></div>").blocks
+    assert len({b.path for b in blocks}) == 3
+
+
 def visible(source):
     return [b.text for b in html_templates.read(source).blocks if not b.away]
 

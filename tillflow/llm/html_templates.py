@@ -8,11 +8,12 @@ Classes on ``SUPPORT`` of a host's pages (``MIN_PAGES`` or more) are valid; they
 the host's template by the places of their tokens, and a class that crosses a larger one is
 dropped.  What the template doesn't fix are its slots.  Slots in parts that are no article by their
 element, role or class names (menus, page headers, footers, sidebars, notices, adverts,
-forms, comments) are left out; of the rest the article's slots are the text, or the slots
-with most text where no element says which is the article.
+forms, comments) are left out; of the rest the article's slots are the text, or all slots
+where no element says which is the article.
 
 Text that the template fixes inside an article ("share this") goes, too, unless that is half
-of the article or more: then the pages are copies of one article and not a template.
+of the article or more: then the pages are copies of one article and not a template.  Where
+no element says which is the article, it stays only if there is no other text.
 
 Defined results: null pages have no text.  A null or odd url is a host of its own.  Hosts
 with few pages have no template and go by names alone.  Repeated rows count as pages.  An
@@ -69,11 +70,10 @@ _KEEPS = set("article main section div ul ol dl table blockquote nav aside form
 
 @dataclass
 class Block:
-    path: str
+    path: str  # a hash of all elements down to the block's own
     text: str
     away: bool
     article: bool
-    linked: int
 
 
 @dataclass
@@ -124,24 +124,20 @@ def _read(text: str, endless: set[int]) -> tuple[Page, set[int]]:
     page, more = Page(), set()
     stack: list[tuple[str, str, bool, bool, int]] = []  # tag, path, away, in article, where if hidden or -1
     here: list[str] = []
-    linked = links = at = hidden = 0
+    at = hidden = 0
     position = ("", False, False)
     raw_ends: dict[str, int] = {}
 
     def flush() -> None:
-        nonlocal here, linked
+        nonlocal here
         value = " ".join(html.unescape("".join(here)).split())
         if value:
-            page.blocks.append(Block(position[0], value, position[1], position[2], linked))
-        here, linked = [], 0
+            page.blocks.append(Block(position[0], value, position[1], position[2]))
+        here = []
 
     def say(piece: str) -> None:
-        nonlocal linked
-        if hidden:
-            return
-        here.append(piece)
-        if links:
-            linked += len(piece)
+        if not hidden:
+            here.append(piece)
 
     def cut(k: int) -> None:
         """Close what is open from place ``k`` of the stack on; its own end tag closes the first."""
@@ -191,8 +187,6 @@ def _read(text: str, endless: set[int]) -> tuple[Page, set[int]]:
                 stack.append((tag, *(stack[-1][1:4] if stack else ("", False, False)), found.start()))
                 hidden += 1
             continue
-        if tag == "a" and not hidden:
-            links = 0 if closing else 1
         if tag == "br":
             say(" ")
         if tag not in _BLOCK:
@@ -217,7 +211,7 @@ def _read(text: str, endless: set[int]) -> tuple[Page, set[int]]:
             attributes = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(source)}
             parent = stack[-1] if stack else ("", "", False, False, -1)
             label = ".".join([tag, *sorted(attributes.get("class", "").split())])
-            path = f"{parent[1]}>{label}"[:500]
+            path = xxhash.xxh3_128_hexdigest(f"{parent[1]}>{label}".encode("utf-8", "replace"))
             if not hidden:
                 page.elements.append(path)
             if tag not in _VOID:
@@ -303,15 +297,11 @@ def main_text(page: Page, template: set[int]) -> str:
     """The text of a page's content slots."""
     free = [b for b in page.blocks if not b.away]
     inside = [b for b in free if b.article]
-    if not inside:
-        mass: Counter[str] = Counter()
-        for b in free:
-            mass[b.path.rpartition(">")[0]] += len(b.text) - 2 * b.linked
-        best = max(mass, key=lambda p: (mass[p], -len(p)), default="")
-        inside = [b for b in free if b.path.startswith(best) and 2 * b.linked <= len(b.text)]
+    article, inside = bool(inside), inside or free
     fixed = [_key("T", b.path, b.text) in template for b in inside]
     size = sum(len(b.text) for b in inside)
-    if sum(len(b.text) for b, f in zip(inside, fixed) if f) < MOST_FIXED * size:
+    most = MOST_FIXED * size if article else size
+    if sum(len(b.text) for b, f in zip(inside, fixed) if f) < most:
         inside = [b for b, f in zip(inside, fixed) if not f]
     return "\n".join(b.text for b in inside)
 
