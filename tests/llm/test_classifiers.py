@@ -47,6 +47,32 @@ def test_features_equal_a_plain_count(monkeypatch, portion):
     assert [len(x) for x in linear.features(pa.array([], pa.string()))] == [0] * 4
 
 
+def _whole(text):
+    row, at, count, _ = linear.features(pa.array([text]), whole=True)
+    return dict(zip(at.tolist(), count.tolist()))
+
+
+def test_all_bytes_of_a_run_are_seen():
+    assert _whole("worth") != _whole("worthless") != _whole("worthwhile") and _whole("cat one") == _whole("CAT ONE")
+    assert _whole("ÉTÉ ДОБРОЕ") == _whole("été доброе")
+    plain = "这是一个很长的句子没有空格也没有标点符号" * 3
+    inside = plain[:20] + "恶毒的话" + plain[20:]
+    assert set(_whole("恶毒的话")) & set(_whole(inside)) - set(_whole(plain))
+    for k in range(len(plain)):
+        assert _whole(plain[:k] + "恶" + plain[k + 1 :]) != _whole(plain)
+
+
+@pytest.mark.parametrize("portion", [1, 40, 1 << 20])
+def test_whole_features_do_not_depend_on_portions(monkeypatch, portion):
+    texts = ["longerwords longerword", None, "", "доброе утро", "这是一个很长的句子", "x", "naïve Überraschung " * 9]
+    want = [_whole(t) for t in texts]
+    monkeypatch.setattr(linear, "PORTION_BYTES", portion)
+    row, at, count, _ = linear.features(pa.array(texts), whole=True)
+    assert [dict(zip(at[row == k].tolist(), count[row == k].tolist())) for k in range(len(texts))] == want
+    grams = linear.features(pa.array(["abcdefg"]), whole=True)[2].sum()
+    assert grams == 1 + 1 + 1 + 5  # start, end, whole run, grams
+
+
 def test_toxicity_on_held_out_rows(spark):
     """Over 4,000 labelled rows; sf0.01 has some 240, too few to learn from."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))

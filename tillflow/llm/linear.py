@@ -2,7 +2,9 @@
 
 Features of a text, taken from its UTF-8 bytes with numpy: the first ``START`` bytes of each
 run of letters and digits, A-Z in lower case, and the last two bytes of each word between
-spaces, hashed into ``BUCKETS``.  A fit takes at most about ``FIT_ROWS`` labelled rows, chosen by a hash of
+spaces, hashed into ``BUCKETS``.  Of runs with more bytes, the whole run and every ``GRAM``
+characters of it are features, too, so that all bytes of a text count; models see texts in
+Unicode lower case (``whole``).  A fit takes at most about ``FIT_ROWS`` labelled rows, chosen by a hash of
 their id, and keeps the ``FEATURES`` buckets that tell the classes apart best.  Scoring
 covers whole texts of all rows.
 """
@@ -24,7 +26,8 @@ from tillflow.llm.common import col, stored
 BITS = 18
 BUCKETS = 1 << BITS
 START = 5
-PORTION_BYTES = 8 << 20
+GRAM = 3
+PORTION_BYTES = 2 << 20
 #: Bound on the labelled rows of a fit.
 FIT_ROWS = 8_000
 FEATURES = 3_000
@@ -36,6 +39,9 @@ _LETTER = np.array(
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 #: An odd multiplier that spreads a key over the upper bits.
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: Odd multipliers: of characters within a gram, of places within a run, and of whole runs.
+_PLACES = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+_STEP, _RUN = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
 def _rows_between(spots: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -43,7 +49,45 @@ def _rows_between(spots: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.diff(np.searchsorted(spots, bounds))
 
 
-def _in_portion(data: np.ndarray, bounds: np.ndarray, wanted: np.ndarray | None):  # noqa: ANN202
+def _long_runs(low: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of the whole runs of over START bytes and of each GRAM characters in them.
+
+    ``low``: the bytes, zero where there is no letter; runs go from ``first`` to ``stop``.
+    """
+    far = stop - first > START
+    first, stop = first[far], stop[far]
+    if not len(first):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    edge = np.zeros(len(low) + 1, np.int8)
+    edge[first], edge[stop] = 1, -1
+    inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
+    more = low & 0xC0 == 0x80  # inside a character
+    more[first] = False
+    char = np.flatnonzero(inside & ~more)
+    code = low[char].astype(np.uint64)
+    going = np.ones(len(char), bool)
+    for k in range(1, 4):
+        at = np.minimum(char + k, len(low) - 1)
+        going &= more[at] & inside[at]
+        if not going.any():
+            break
+        code |= np.where(going, low[at], 0).astype(np.uint64) << np.uint64(8 * k)
+    begin = np.searchsorted(char, first)
+    size = np.diff(np.append(begin, len(char)))
+    place = np.arange(len(char)) - np.repeat(begin, size)
+    powers = np.cumprod(np.full(int(size.max()), _STEP), dtype=np.uint64)
+    run = np.add.reduceat((code + np.uint64(1)) * powers[place], begin)
+    run = (run ^ run >> np.uint64(31)) * _RUN
+    ends = np.repeat(size, size) - place
+    gram = np.flatnonzero(ends >= GRAM)
+    key = np.zeros(len(gram), np.uint64)
+    for k in range(GRAM):
+        key += code[gram + k] * _PLACES[k]
+    key = (key ^ key >> np.uint64(29)) * _PLACES[0]
+    return np.concatenate([first, char[gram]]), np.concatenate([run, key])
+
+
+def _in_portion(data: np.ndarray, bounds: np.ndarray, wanted: np.ndarray | None, whole: bool):  # noqa: ANN202
     """Row, bucket and count of the features of some bytes, and the words of each row.
 
     Every row ends with a space, so no word crosses rows.
@@ -66,6 +110,11 @@ def _in_portion(data: np.ndarray, bounds: np.ndarray, wanted: np.ndarray | None)
     at = (np.concatenate([key, end]) * _SPREAD >> np.uint64(64 - BITS)).astype(np.int64)
     each = np.arange(rows)
     row = np.concatenate([np.repeat(each, _rows_between(first, bounds)), np.repeat(each, n_words)])
+    if whole:
+        stop = np.flatnonzero(there & ~np.concatenate([there[1:], [False]])) + 1
+        spots, keys = _long_runs(low[:n], first, stop)
+        row = np.concatenate([row, np.searchsorted(bounds, spots, "right") - 1])
+        at = np.concatenate([at, (keys * _SPREAD >> np.uint64(64 - BITS)).astype(np.int64)])
     if wanted is not None:
         hit = wanted[at]
         row, at = row[hit], at[hit]
@@ -73,14 +122,25 @@ def _in_portion(data: np.ndarray, bounds: np.ndarray, wanted: np.ndarray | None)
     return both >> BITS, both & (BUCKETS - 1), count, n_words
 
 
-def features(texts: pa.Array, wanted: np.ndarray | None = None):  # noqa: ANN201
+def _lower(texts: pa.Array) -> pa.Array:
+    try:
+        return pc.utf8_lower(texts)
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        raw = texts.cast(pa.large_binary()).to_pylist()
+        return pa.array([x.decode("utf-8", "replace").lower() for x in raw], pa.large_string())
+
+
+def features(texts: pa.Array, wanted: np.ndarray | None = None, whole: bool = False):  # noqa: ANN201
     """Row, bucket and count of each feature of the texts, and the number of words of each text.
 
-    ``wanted``: a flag for each bucket; the others are left out.  Texts of about
+    ``wanted``: a flag for each bucket; the others are left out.  ``whole``: in Unicode lower
+    case, and with what runs have beyond START bytes.  Texts of about
     PORTION_BYTES together are worked on at a time; a longer text is a portion of its own.
     """
-    whole = pc.fill_null(texts.cast(pa.large_string()), "")
-    closed = pc.binary_join_element_wise(whole, *(pa.scalar(x, pa.large_string()) for x in ("", " ")))
+    filled = pc.fill_null(texts.cast(pa.large_string()), "")
+    if whole:
+        filled = _lower(filled)
+    closed = pc.binary_join_element_wise(filled, *(pa.scalar(x, pa.large_string()) for x in ("", " ")))
     empty = np.zeros(0, np.int64)
     found = [(empty, empty, empty, empty)]
     bounds = np.frombuffer(closed.buffers()[1], np.int64)[: len(closed) + 1] if len(closed) else empty
@@ -90,7 +150,7 @@ def features(texts: pa.Array, wanted: np.ndarray | None = None):  # noqa: ANN201
         stop = int(np.searchsorted(bounds, bounds[start] + PORTION_BYTES, "right")) - 1
         stop = min(max(stop, start + 1), len(closed))
         part = data[bounds[start] : bounds[stop]]
-        row, at, count, words = _in_portion(part, bounds[start : stop + 1] - bounds[start], wanted)
+        row, at, count, words = _in_portion(part, bounds[start : stop + 1] - bounds[start], wanted, whole)
         found.append((row + start, at, count, words))
         start = stop
     return tuple(np.concatenate(x) for x in zip(*found))
@@ -98,7 +158,7 @@ def features(texts: pa.Array, wanted: np.ndarray | None = None):  # noqa: ANN201
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        row, at, count, _ = features(batch.column("text"))
+        row, at, count, _ = features(batch.column("text"), whole=True)
         ends = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
         yield pa.record_batch({
             **{name: batch.column(name) for name in ("chosen", "label_id", "rest", "label")},
@@ -245,7 +305,7 @@ def scored(docs: DataFrame, carry: list[str], text: str, outputs: int, wanted: n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, at, count, n_words = features(batch.column(batch.num_columns - 1), flags)
+            row, at, count, n_words = features(batch.column(batch.num_columns - 1), flags, whole=True)
             value = np.log1p(count.astype(np.float64))
             p = score(at, value, row, batch.num_rows)
             flat = pa.array(np.ascontiguousarray(p).reshape(-1), pa.float64())
