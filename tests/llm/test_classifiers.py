@@ -165,6 +165,15 @@ def test_language_on_held_out_rows(docs):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_languages_beyond_64_are_learned(spark, monkeypatch):
+    """Languages of one letter each, the rarest with few rows."""
+    monkeypatch.setattr(lang_gru, "train", lambda x, y, n: (n, sorted(set(y.tolist()))))
+    rows = [(k * 100 + j, chr(0x4E00 + k) * 9, f"l{k}") for k in range(80) for j in range(6 if k == 79 else 9)]
+    names, (n, learned) = lang_gru.fitted(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    assert set(names) == {f"l{k}" for k in range(80)} and n == 80 and learned == list(range(80))
+
+
 def test_language_odd_rows(spark):
     rows = [(1, None, "en"), (2, "", "en"), (3, "123 !!", None), (3, "123 !!", None), (None, "some words", "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")

@@ -8,8 +8,8 @@ from the whole text of each, and only these windows come to the driver.  Predict
 every byte of every text.  Only the text is an input of a prediction.
 
 Defined results: a null text or one without a letter is ``und`` with score 0.  Without any
-row to learn from everything is ``und``.  A row without a doc_id counts as held out.  At
-most ``MOST_LANGS`` languages (those with the most rows) are learned.  Repeated rows are
+row to learn from everything is ``und``.  A row without a doc_id counts as held out.  Every
+language is learned; more than ``LANGS_A_FIT`` take so many times the steps.  Repeated rows are
 predicted each.  An empty table gives an empty result.
 """
 
@@ -27,7 +27,7 @@ from tillflow.llm.common import col
 
 WINDOW = 128
 HIDDEN = 8
-MOST_LANGS = 64
+LANGS_A_FIT = 16
 #: Bounds on what a fit sees: documents of a language, and windows of each document.
 PER_LANG, PER_DOC = 300, 2
 TRAIN_BYTES, BATCH, STEPS, RATE = 64, 256, 220, 0.02
@@ -143,7 +143,7 @@ def train(x: np.ndarray, y: np.ndarray, n_langs: int) -> Network:
         return network
     params = network.params()
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for step in range(1, STEPS + 1):
+    for step in range(1, STEPS * -(-n_langs // LANGS_A_FIT) + 1):
         rows = rng.integers(0, len(y), BATCH)
         for p, g, m, v in zip(params, network.gradients(x[rows], y[rows]), first, second):
             m += 0.1 * (g - m)
@@ -157,16 +157,17 @@ def fitted(docs: DataFrame, doc_id: str, text: str, lang: str) -> tuple[list[str
     known = docs.where(
         ~held_out(doc_id) & col(lang).isNotNull() & col(text).rlike(r"\p{L}")
     ).select(col(lang).alias("lang"), col(text).alias("text"), col(doc_id).alias("id"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return [], None
-    limit = F.lit(0)
-    for r in counts:
-        share = min(1_000_003, int(1_000_003 * 1.5 * PER_LANG / r["count"]) + 1)
-        limit = F.when(F.col("lang") == r["lang"], share).otherwise(limit)
+    shares = [min(1_000_003, int(1_000_003 * 1.5 * PER_LANG / r["count"]) + 1) for r in counts]
+    limits = docs.sparkSession.createDataFrame(
+        [(r["lang"], x) for r, x in zip(counts, shares)], "lang string, share int"
+    )
     order = F.xxhash64("id", F.lit("lang"))
     rows = (
-        known.where(F.pmod(order, F.lit(1_000_003)) < limit)
+        known.join(F.broadcast(limits), "lang")
+        .where(F.pmod(order, F.lit(1_000_003)) < F.col("share"))
         .select("lang", F.xxhash64("id", F.lit("lang"), "text").alias("key"), "text")
         .mapInArrow(_drawn, "lang string, key long, parts array<array<short>>")
         .orderBy(F.pmod("key", F.lit(1_000_003)), "key")
@@ -174,12 +175,13 @@ def fitted(docs: DataFrame, doc_id: str, text: str, lang: str) -> tuple[list[str
         .collect()
     )
     names = [r["lang"] for r in counts]
+    number = {x: k for k, x in enumerate(names)}
     taken, parts, owners = dict.fromkeys(names, 0), [np.zeros((0, TRAIN_BYTES), np.int16)], []
     for r in rows:
         if taken[r["lang"]] < PER_LANG:
             taken[r["lang"]] += 1
             parts.append(np.array(r["parts"], np.int16))
-            owners += [names.index(r["lang"])] * len(r["parts"])
+            owners += [number[r["lang"]]] * len(r["parts"])
     return names, train(np.concatenate(parts), np.array(owners, int), len(names))
 
 
@@ -194,10 +196,11 @@ def _pooled(network: Network, texts: list[str | None]) -> np.ndarray:
     def flush() -> None:
         nonlocal held, owner, size
         x, who = np.concatenate(held), np.concatenate(owner)
-        for at in range(0, len(x), PORTION_WINDOWS):
-            part = x[at : at + PORTION_WINDOWS]
+        portion = max(1, PORTION_WINDOWS * LANGS_A_FIT // max(LANGS_A_FIT, len(network.base)))
+        for at in range(0, len(x), portion):
+            part = x[at : at + portion]
             p = (network.labels(part) * (part.T != PAD)[:, :, None]).sum(0)
-            np.add.at(total, who[at : at + PORTION_WINDOWS], p)
+            np.add.at(total, who[at : at + portion], p)
         held, owner, size = [], [], 0
 
     for k, text in enumerate(raw):
