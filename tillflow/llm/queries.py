@@ -15,6 +15,7 @@ from tillflow.llm import (
     periodic_runs,
     quality_rules,
     simhash_dedup,
+    spelling_variants,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -68,6 +69,10 @@ def op10_lang_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_gru.predicted(documents(spark, sf_dir))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(documents(spark, sf_dir))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(documents(spark, sf_dir))
 
@@ -76,7 +81,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_quality_rules, op3_token_counts, op4_exact_dedup, op5_byte_bpe, op6_toxicity,
-        op7_html_templates, op8_simhash, op9_mixing, op10_lang_gru, op13_periodic_runs,
+        op7_html_templates, op8_simhash, op9_mixing, op10_lang_gru, op12_spelling_variants, op13_periodic_runs,
     )
 } | {"pipeline": corpus_pipeline.run}
 
