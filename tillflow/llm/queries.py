@@ -14,6 +14,7 @@ from tillflow.llm import (
     mixing,
     periodic_runs,
     quality_rules,
+    secret_scans,
     simhash_dedup,
     spelling_variants,
     suffix_dedup,
@@ -69,6 +70,10 @@ def op10_lang_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_gru.predicted(documents(spark, sf_dir))
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.digests(documents(spark, sf_dir))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(documents(spark, sf_dir))
 
@@ -81,7 +86,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_quality_rules, op3_token_counts, op4_exact_dedup, op5_byte_bpe, op6_toxicity,
-        op7_html_templates, op8_simhash, op9_mixing, op10_lang_gru, op12_spelling_variants, op13_periodic_runs,
+        op7_html_templates, op8_simhash, op9_mixing, op10_lang_gru, op11_secret_scans,
+        op12_spelling_variants, op13_periodic_runs,
     )
 } | {"pipeline": corpus_pipeline.run}
 
