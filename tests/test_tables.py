@@ -230,16 +230,126 @@ def test_moves_add_to_what_is_there(spark, transactions):
     assert months(spark, archive) == {202401: 4} and months(spark, transactions) == {}
 
 
-def test_a_broken_move_goes_on_without_losing_or_doubling(spark, transactions, monkeypatch):
-    month, archive = {"ym": 202401}, f"{transactions}_archive"
-    insert(spark, transactions, [row(1, T0), row(2, T0)])
+class Broken(OSError):
+    pass
+
+
+def break_at(monkeypatch, name, nth):
+    """Make the nth call of a file operation fail before it does anything."""
+    from tillflow.sources import files
+
+    true, calls = getattr(files, name), []
+
+    def call(*args, **more):
+        calls.append(args)
+        if len(calls) == nth:
+            raise Broken(name)
+        return true(*args, **more)
+
+    monkeypatch.setattr(files, name, call)
+
 
-    def fail(*_):
-        raise OSError("lost")
+def ids(spark, table):
+    return sorted(r.transaction_id for r in spark.table(table).collect())
 
-    with monkeypatch.context() as patch, pytest.raises(OSError):
-        patch.setattr(tables, "_leave_new_files", fail)
+
+@pytest.mark.parametrize("step, nth", [("write_text", 1), ("move", 1), ("move", 2), ("move", 3), ("write_text", 2)])
+def test_a_broken_move_loses_and_doubles_nothing(spark, transactions, monkeypatch, step, nth):
+    month, archive = {"ym": 202401}, f"{transactions}_archive"
+    insert(spark, transactions, [row(0)])
+    tables.move_partition(spark, transactions, archive, month)
+    for i in (1, 2, 3):
+        insert(spark, transactions, [row(i)])
+    with monkeypatch.context() as patch, pytest.raises(Broken):
+        break_at(patch, step, nth)
         tables.move_partition(spark, transactions, archive, month)
-    insert(spark, transactions, [row(3, T0)])
+    for name in (transactions, archive):
+        spark.catalog.refreshTable(name)
+    assert sorted(ids(spark, transactions) + ids(spark, archive)) == ["t0", "t1", "t2", "t3"]
+    insert(spark, transactions, [row(20)])
+    insert(spark, archive, [row(10)])
     tables.move_partition(spark, transactions, archive, month)
-    assert months(spark, archive) == {202401: 2} and months(spark, transactions) == {202401: 1}
+    assert ids(spark, archive) == ["t0", "t1", "t10", "t2", "t20", "t3"] and ids(spark, transactions) == []
+    tables.move_partition(spark, archive, transactions, month)
+    assert ids(spark, transactions) == ["t0", "t1", "t10", "t2", "t20", "t3"] and ids(spark, archive) == []
+    assert tables.resume_moves(spark, archive) == []
+
+
+def test_broken_moves_can_be_resumed_alone_and_are_listed(spark, transactions, monkeypatch):
+    from tillflow.sources import ledgers
+
+    month, archive = {"ym": 202401}, f"{transactions}_archive"
+    for i in (1, 2):
+        insert(spark, transactions, [row(i)])
+    with monkeypatch.context() as patch, pytest.raises(Broken):
+        break_at(patch, "move", 2)
+        tables.move_partition(spark, transactions, archive, month)
+    insert(spark, transactions, [row(3)])
+    (broken,) = tables.resume_moves(spark, archive)
+    assert ids(spark, archive) == ["t1", "t2"]
+    spark.catalog.refreshTable(transactions)
+    assert ids(spark, transactions) == ["t3"]
+    rows = ledgers.history(spark, tables.moves_of(spark, archive)).collect()
+    assert {r.move_id for r in rows} == {broken} and len(rows) == 2 and all(r.done for r in rows)
+
+
+def test_moves_between_different_tables_are_refused(spark, transactions):
+    other = f"{transactions}_other"
+    tables.create_table(spark, other, monthly_schema(schemas.DAILY_SUMS), ["ym"])
+    with pytest.raises(ValueError, match="columns"):
+        tables.move_partition(spark, transactions, other, {"ym": 202401})
+
+
+def same(rows):
+    return rows
+
+
+def test_rows_appended_while_a_partition_is_compacted_stay(spark, transactions):
+    month = {"ym": 202401}
+    for i in range(3):
+        insert(spark, transactions, [row(i)])
+
+    def late(rows):
+        insert(spark, transactions, [row(7)])
+        return rows
+
+    tables.compact(spark, transactions, month, late, ["ym", "user_id"], 1)
+    assert ids(spark, transactions) == ["t0", "t1", "t2", "t7"]
+    assert len(tables.partition_files(spark, transactions, month)) == 2
+
+
+@pytest.mark.parametrize("step, nth", [
+    ("write_text", 1), ("move", 1), ("move", 2), ("move", 3), ("move", 4), ("delete", 1),
+])
+def test_a_broken_compaction_is_finished_by_the_next(spark, transactions, monkeypatch, step, nth):
+    month = {"ym": 202401}
+    for i in range(3):
+        insert(spark, transactions, [row(i)])
+    with monkeypatch.context() as patch, pytest.raises(Broken):
+        break_at(patch, step, nth)
+        tables.compact(spark, transactions, month, same, ["ym", "user_id"], 1)
+    insert(spark, transactions, [row(7)])
+    tables.compact(spark, transactions, month, same, ["ym", "user_id"], 1)
+    assert ids(spark, transactions) == ["t0", "t1", "t2", "t7"]
+    assert len(tables.partition_files(spark, transactions, month)) == 1
+
+
+def test_of_two_compactions_one_fails(spark, transactions, monkeypatch):
+    from tillflow.sources import ledgers
+
+    month, true = {"ym": 202401}, ledgers.exchange
+    for i in range(3):
+        insert(spark, transactions, [row(i)])
+
+    def overtaken(*args):
+        monkeypatch.setattr(ledgers, "exchange", true)
+        tables.compact(spark, transactions, month, same, ["ym", "user_id"], 1)
+        true(*args)
+
+    monkeypatch.setattr(ledgers, "exchange", overtaken)
+    with pytest.raises(ledgers.ChangedMeanwhile):
+        tables.compact(spark, transactions, month, same, ["ym", "user_id"], 1)
+    spark.catalog.refreshTable(transactions)
+    assert ids(spark, transactions) == ["t0", "t1", "t2"]
+    tables.compact(spark, transactions, {"ym": 199901}, same, ["ym"], 1)
+    assert ids(spark, transactions) == ["t0", "t1", "t2"]

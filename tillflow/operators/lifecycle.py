@@ -141,7 +141,8 @@ def move_old_months(
     from datetime import timedelta
 
     limit = now(as_of) - timedelta(days=positive("days", days))
-    moved = [ym for ym in _months(spark, table) if _next_month(ym) <= limit]
+    old = [ym for ym in _months(spark, table) if _next_month(ym) <= limit]
+    moved = [ym for ym in old if tables.partition_files(spark, table, {"ym": ym})]
     for ym in moved:
         tables.move_partition(spark, table, target, {"ym": ym})
     return moved

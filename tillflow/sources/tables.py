@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillflow.functions.times import week_start, yyyymm, yyyymmdd
-from tillflow.session import discard, shared_dir
+from tillflow.sources import files, ledgers
 
 MONTH = "ym"
 
@@ -175,90 +176,84 @@ def insert_select(df: DataFrame, table: str) -> None:
 # -- partitions -------------------------------------------------------------
 
 
-def _condition(partition: dict) -> Column:
-    result = F.lit(True)
-    for name, value in partition.items():
-        result = result & (F.col(name) == F.lit(value))
-    return result
-
-
 def _spec(partition: dict) -> str:
     return ", ".join(f"{k} = {v!r}" for k, v in partition.items())
 
 
-def _overwrite_partition(df: DataFrame, table: str, partition: dict) -> None:
-    """Replace exactly one partition, whatever the session's overwrite mode.
+def drop_partition(spark: SparkSession, table: str, partition: dict) -> None:
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(partition)})")
 
-    The partition is named in the statement: a dynamic overwrite would depend
-    on a session setting, and without it would empty every other partition.
-    """
-    spark = df.sparkSession
-    columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in partition)
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({_spec(partition)}) "
-        f"SELECT {columns} FROM {{rows}}",
-        rows=df,
-    )
 
+def _described(spark: SparkSession, what: str) -> str:
+    """The location that DESCRIBE gives; of a partition its own comes first."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {what}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
 
-def drop_partition(spark: SparkSession, table: str, partition: dict) -> None:
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(partition)})")
 
+def location(spark: SparkSession, table: str) -> str:
+    return _described(spark, table)
 
-def _marker(table: str, partition: dict) -> str:
-    return "tillflow.moving." + ".".join([table.replace(".", "_"), *map(str, partition.values())])
 
+def partition_folder(spark: SparkSession, table: str, partition: dict) -> str | None:
+    """Where the files of a partition lie; None if the catalog has no such partition."""
+    if not partition:
+        return location(spark, table)
+    known = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_spec(partition)})")
+    return _described(spark, f"{table} PARTITION ({_spec(partition)})") if known.take(1) else None
 
-def _property(spark: SparkSession, table: str, key: str) -> str | None:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == key).collect()
-    return rows[0]["value"] if rows else None
 
+def partition_files(spark: SparkSession, table: str, partition: dict) -> list[str]:
+    """The data files that a partition has now."""
+    folder = partition_folder(spark, table, partition)
+    return [f.path for f in files.listing(spark, folder)] if folder else []
+
+
+def rows_of_files(spark: SparkSession, table: str, partition: dict, paths: Sequence[str]) -> DataFrame:
+    """The rows of some files of a partition, with the columns of the table."""
+    schema = spark.table(table).schema
+    inner = StructType([f for f in schema.fields if f.name not in partition])
+    rows = spark.read.schema(inner).parquet(*paths)
+    fixed = {k: F.lit(v).cast(schema[k].dataType) for k, v in partition.items()}
+    return rows.withColumns(fixed).select(*schema.names)
 
-def move_partition(spark: SparkSession, table: str, archive: str, partition: dict) -> None:
-    """Add the rows of one partition to a table of the same columns and take them out here.
 
-    What the archive has of the partition stays.  Both together are first staged in the
-    shared folder and the archive is marked with the staged path; then its partition is
-    replaced from there, the source is emptied and the mark removed.  A move that broke off
-    goes on from the mark when it is repeated, so no row is lost or added twice.  Rows that
-    arrive in the source meanwhile are in files that weren't staged, and stay in it.
+def move_partition(spark: SparkSession, table: str, archive: str, partition: dict) -> None:
+    """Move the files of one partition to a table of the same columns; its own files stay.
+
+    Files are renamed one by one, no row is rewritten, and a file is in one of the tables at
+    any time.  The plan of a move is written beside the archive before its first file moves
+    and closed after the last: a move that broke off is finished by the next one into the
+    same archive (or :func:`resume_moves`), which then takes what has come to the source
+    since.  Rows that arrive while a move runs are in files that aren't in its plan: they
+    stay where they are.  The emptied partition stays in the catalog, as dropping it would
+    delete files that are just being added.
     """
     if not table_exists(spark, archive):
         create_table(spark, archive, spark.table(table).schema, list(partition))
-    spark.catalog.refreshTable(table)
-    mark = _marker(table, partition)
-    staging = _property(spark, archive, mark)
-    if staging is None:
-        staging = shared_dir(spark, "move")
-        rows = spark.table(table).where(_condition(partition))
-        files = rows.inputFiles()
-        spark.createDataFrame([(f,) for f in files], "file string").write.parquet(f"{staging}/files")
-        there = spark.table(archive).where(_condition(partition))
-        both = there.unionByName(spark.read.schema(rows.schema).parquet(*files).withColumns(
-            {k: F.lit(v).cast(rows.schema[k].dataType) for k, v in partition.items()}
-        )) if files else there
-        both.write.parquet(f"{staging}/rows")
-        spark.sql(f"ALTER TABLE {archive} SET TBLPROPERTIES ('{mark}' = '{staging}')")
-    schema = spark.table(archive).schema
-    _overwrite_partition(spark.read.schema(schema).parquet(f"{staging}/rows"), archive, partition)
-    _leave_new_files(spark, table, partition, f"{staging}/files", f"{staging}/late")
-    spark.sql(f"ALTER TABLE {archive} UNSET TBLPROPERTIES ('{mark}')")
-    discard(spark, staging)
-
-
-def _leave_new_files(spark: SparkSession, table: str, partition: dict, moved: str, late: str) -> None:
-    """Empty a partition of the files listed in ``moved``."""
-    spark.catalog.refreshTable(table)
-    rows = spark.table(table).where(_condition(partition))
-    new = sorted(set(rows.inputFiles()) - {r.file for r in spark.read.parquet(moved).collect()})
-    if not new:
-        drop_partition(spark, table, partition)
-        return
-    kept = spark.read.schema(rows.schema).parquet(*new)
-    kept.withColumns(
-        {k: F.lit(v).cast(rows.schema[k].dataType) for k, v in partition.items()}
-    ).write.mode("overwrite").parquet(late)
-    _overwrite_partition(spark.read.schema(rows.schema).parquet(late), table, partition)
+    kinds = [{f.name: f.dataType for f in spark.table(t).schema.fields} for t in (table, archive)]
+    if kinds[0] != kinds[1]:
+        raise ValueError(f"{table} and {archive} have different columns")
+    journal = moves_of(spark, archive)
+    ledgers.resume(spark, journal)
+    found = partition_files(spark, table, partition)
+    if found:
+        spark.sql(f"ALTER TABLE {archive} ADD IF NOT EXISTS PARTITION ({_spec(partition)})")
+        target = partition_folder(spark, archive, partition)
+        ledgers.carry_out(spark, journal, table, [(f, f"{target}/{files.name_of(f)}") for f in found])
+    for name in (table, archive):
+        spark.catalog.refreshTable(name)
+
+
+def moves_of(spark: SparkSession, archive: str) -> str:
+    """The folder with the plans of moves into a table."""
+    return f"{location(spark, archive)}/_moves"
+
+
+def resume_moves(spark: SparkSession, archive: str) -> list[str]:
+    """Finish moves into a table that broke off; their ids."""
+    done = ledgers.resume(spark, moves_of(spark, archive))
+    spark.catalog.refreshTable(archive)
+    return done
 
 
 def _side_table(table: str) -> str:
@@ -283,15 +278,23 @@ def compact(
     order: Sequence[str],
     partitions: int | None = None,
 ) -> None:
-    """Rewrite one partition merged and sorted.
+    """Replace the files that a partition has now by files of their rows merged and sorted.
 
-    The result is first written to the shared folder and the partition is
-    replaced from there: the table never depends on rows being overwritten.
-    The staged copy is deleted only after the partition has been replaced.
+    Exactly the files that were read are replaced: files that inserts add meanwhile stay, and
+    if one of those read is gone by then, nothing changes and the call fails.  The merged
+    files are staged in a hidden folder of the table.  The exchange is written down before
+    its first rename; one that broke off is finished by the next call.
     """
-    staging = shared_dir(spark, "compact")
-    merged = merge(spark.table(table).where(_condition(partition)))
-    clustered(merged, order, partitions).write.parquet(staging)
-    # The sorted files are copied, not sorted again.
-    _overwrite_partition(spark.read.schema(merged.schema).parquet(staging), table, partition)
-    discard(spark, staging)
+    folder = partition_folder(spark, table, partition)
+    if folder is None:
+        return
+    exchanges = f"{location(spark, table)}/_exchanges"
+    record = f"{exchanges}/{'.'.join(f'{k}={v}' for k, v in partition.items()) or 'all'}.json"
+    ledgers.finish_exchange(spark, record)
+    read = partition_files(spark, table, partition)
+    if read:
+        staged = f"{exchanges}/{uuid.uuid4().hex}"
+        merged = merge(rows_of_files(spark, table, partition, read))
+        clustered(merged, order, partitions).drop(*partition).write.parquet(staged)
+        ledgers.exchange(spark, record, folder, read, staged)
+    spark.catalog.refreshTable(table)
