@@ -30,7 +30,11 @@ GRAM = 3
 PORTION_BYTES = 2 << 20
 #: Bound on the labelled rows of a fit.
 FIT_ROWS = 8_000
+#: Bound on the features of a model; buckets that are looked at for a label, and the entries
+#: (row, bucket) of those that a fit takes.
 FEATURES = 3_000
+CANDIDATES = 4_000
+FIT_ENTRIES = 4_000_000
 STEPS, RATE, RIDGE = 150, 0.1, 1e-4
 #: A byte of a letter or digit, A-Z in lower case; zero for any other.
 _LETTER = np.array(
@@ -180,8 +184,10 @@ class Sample:
 def sample(docs: DataFrame, labelled: DataFrame, label: Column, doc_id: str, text: str) -> Sample:
     """At most about FIT_ROWS rows with a label (a list of ints), in the order of a hash.
 
-    A label of a doc_id that several rows have belongs to each of them.  Features are taken
-    before the rows are put in order, so that texts stay in the tasks that read them.
+    A label of a doc_id that several rows have belongs to each of them.  Features stay in
+    files: Spark counts each bucket by label, from these counts ``CANDIDATES`` buckets are
+    chosen for each label, and only what the chosen buckets have of the first rows with
+    FIT_ENTRIES entries together comes to the driver.
     """
     known = labelled.select(col("doc_id").alias("label_id"), label.alias("label")).where(
         "label IS NOT NULL AND label_id IS NOT NULL"
@@ -196,36 +202,102 @@ def sample(docs: DataFrame, labelled: DataFrame, label: Column, doc_id: str, tex
         .select(order.alias("chosen"), "label_id", F.xxhash64("text").alias("rest"), "label", "text")
     )
     schema = texts.drop("text").schema.add("at", ArrayType(IntegerType())).add("n", ArrayType(IntegerType()))
-    rows = (
+    rows = stored(
         texts.mapInArrow(_extracted, schema)
-        .orderBy("chosen", "label_id", "rest")
-        .limit(2 * FIT_ROWS)
-        .select("label", "at", "n")
-        .toArrow()
-    )
-    lists = [rows[x].combine_chunks() for x in ("label", "at", "n")]
-    flat = [np.concatenate([c.flatten().to_numpy() for c in _chunks(x)] or [np.zeros(0)]) for x in lists]
-    sizes = np.concatenate([c.value_lengths().to_numpy() for c in _chunks(lists[1])] or [np.zeros(0, int)])
-    row = np.repeat(np.arange(rows.num_rows), sizes)
-    labels = flat[0].astype(np.int64).reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, 1), np.int64)
-    return Sample(labels, row, flat[1].astype(np.int64), np.log1p(flat[2].astype(np.float64)))
+        .groupBy("chosen", "label_id", "rest")
+        .agg(F.min(F.struct("label", "at", "n")).alias("row"), F.count("*").alias("copies"))
+        .select("chosen", "label_id", "rest", "copies", "row.*"),
+        "fit-sample",
+    )
+    flags = np.zeros(BUCKETS, bool)
+    flags[_candidates(rows)] = True
+    hits = stored(rows.mapInArrow(_only(flags), rows.schema), "fit-hits")
+    key = ["chosen", "label_id", "rest"]
+    keys = hits.select(*key, F.size("at").alias("size"), "copies").orderBy(*key).limit(2 * FIT_ROWS).toArrow()
+    copies, size = (keys[x].to_numpy() for x in ("copies", "size"))
+    copies = np.minimum(copies, np.maximum(1, FIT_ENTRIES // 4 // np.maximum(size, 1)))
+    copies = np.diff(np.minimum(np.cumsum(copies), 2 * FIT_ROWS), prepend=0)
+    copies = copies[(copies > 0) & (np.cumsum(size * copies) <= FIT_ENTRIES)]
+    if not len(copies):
+        return Sample(np.zeros((0, 1), np.int64), *(np.zeros(0, np.int32),) * 2, np.zeros(0, np.float32))
+    last = keys.slice(len(copies) - 1, 1).to_pylist()[0]
+    upto = F.struct(*[F.lit(last[k]).cast(hits.schema[k].dataType).alias(k) for k in key])
+    table = hits.where(F.struct(*key) <= upto).orderBy(*key).select("label", "at", "n").toArrow()
+    table = table.take(np.repeat(np.arange(len(copies)), copies))
+    lists = [table[x].combine_chunks() for x in ("label", "at", "n")]
+    flat = [np.concatenate([c.flatten().to_numpy() for c in _chunks(x)]) for x in lists]
+    sizes = np.concatenate([c.value_lengths().to_numpy() for c in _chunks(lists[1])])
+    row = np.repeat(np.arange(table.num_rows, dtype=np.int32), sizes)
+    labels = flat[0].astype(np.int64).reshape(table.num_rows, -1)
+    return Sample(labels, row, flat[1], np.log1p(flat[2].astype(np.float32)))
+
+
+def _only(flags: np.ndarray):  # noqa: ANN202
+    """Leaves rows the entries of flagged buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("at")
+            hit = flags[at.flatten().to_numpy()]
+            before = np.concatenate([[0], np.cumsum(hit)])
+            ends = np.concatenate([[0], np.cumsum(at.value_lengths().to_numpy())])
+            offsets = pa.array(before[ends].astype(np.int32))
+            yield pa.record_batch({
+                **{name: batch.column(name) for name in batch.schema.names if name not in ("at", "n")},
+                **{name: pa.ListArray.from_arrays(offsets, pa.array(batch.column(name).flatten().to_numpy()[hit]))
+                   for name in ("at", "n")},
+            })
+
+    return run
+
+
+def _candidates(rows: DataFrame) -> np.ndarray:
+    """The buckets that tell the values of a label apart best, for each of the labels.
+
+    The counts are a sum of Spark over all rows; at most BUCKETS numbers for each value of
+    a label come to the driver.
+    """
+    width = (rows.agg(F.max(F.size("label"))).first()[0]) or 0
+    chosen = [np.zeros(0, np.int64)]
+    for k in range(width):
+        y = F.get("label", k).alias("y")
+        of_class = {r.y: r.n for r in rows.groupBy(y).agg(F.count("*").alias("n")).collect()}
+        table = rows.select(y, F.explode("at").alias("b")).groupBy("y", "b").agg(
+            F.count("*").cast("int").alias("n")
+        ).toArrow()
+        there = np.zeros((len(of_class), BUCKETS))
+        place = {v: j for j, v in enumerate(sorted(of_class))}
+        of = np.array([of_class[v] for v in sorted(of_class)], float)[:, None]
+        values, buckets, counts = (table[x].to_numpy() for x in ("y", "b", "n"))
+        for v, j in place.items():
+            there[j, buckets[values == v]] = counts[values == v]
+        gain = _gain(there, of)
+        best = np.argsort(-gain, kind="stable")[:CANDIDATES]
+        chosen.append(best[gain[best] > 0])
+    return np.unique(np.concatenate(chosen))
 
 
 def _chunks(x):  # noqa: ANN001, ANN202
     return x.chunks if isinstance(x, pa.ChunkedArray) else [x]
 
 
+def _gain(there: np.ndarray, of_class: np.ndarray) -> np.ndarray:
+    """Mutual information of each bucket with the class; rows that have it, by class."""
+    n = of_class.sum()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        joint = np.stack([there, of_class - there]) / n
+        apart = joint.sum(1, keepdims=True) * (of_class / n)[None]
+        return np.nansum(np.where(joint > 0, joint * np.log(joint / apart), 0.0), (0, 1))
+
+
 def telling(data: Sample, label: np.ndarray, classes: int) -> np.ndarray:
     """The buckets with the most mutual information with the label."""
     if not len(label):
         return np.zeros(0, np.int64)
     there = np.zeros((classes, BUCKETS))
-    np.add.at(there, (label[data.row], data.at), 1.0)
-    of_class = np.bincount(label, minlength=classes).astype(float)[:, None]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        joint = np.stack([there, of_class - there]) / len(label)
-        apart = joint.sum(1, keepdims=True) * (of_class / len(label))[None]
-        gain = np.nansum(np.where(joint > 0, joint * np.log(joint / apart), 0.0), (0, 1))
+    for c in range(classes):
+        there[c] = np.bincount(data.at[label[data.row] == c], minlength=BUCKETS)
+    gain = _gain(there, np.bincount(label, minlength=classes).astype(float)[:, None])
     best = np.argsort(-gain, kind="stable")[:FEATURES]
     return np.sort(best[gain[best] > 0])
 
