@@ -53,3 +53,21 @@ def test_documents(spark, sf_dir, library):
 
 def test_empty(spark):
     assert ours(spark, []) == []
+
+
+@pytest.mark.parametrize("most", [200_000, 5])
+def test_words_of_any_text(spark, library, monkeypatch, most):
+    monkeypatch.setattr(token_counts, "MOST_WORDS", most)
+    monkeypatch.setattr(token_counts, "BATCH_BYTES", 300)
+    rng = random.Random(10)
+    parts = [*PARTS, "\x0b", "\x0c", "\r\n", "\x1c", "\x00", "́", " ", "　", "ﬁ", "<|startoftext|>"]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randrange(1, 80)))) for i in range(400)]
+    assert ours(spark, rows) == expected(library, rows)
+
+
+def test_a_clashing_column_and_another_tokenizer(spark, library):
+    rows = [(1, "some Words here"), (2, None)]
+    df = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, n_tokens int")
+    assert sorted(map(tuple, token_counts.counted(df, PATH).collect())) == expected(library, rows)
+    with pytest.raises(ValueError, match="white space"):
+        token_counts._tokenizer(public_tokenizers.path("byte_bpe_50k.json"))

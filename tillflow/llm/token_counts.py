@@ -1,6 +1,7 @@
 """Token counts, with huge documents encoded in overlapping chunks.
 
-Texts up to ``CHUNK_CHARS`` go to the tokenizer whole.  A longer text is cut into chunks
+Texts up to ``CHUNK_CHARS`` are not cut; of their words the tokenizer gets each distinct one
+of a task once, as it drops white space.  A longer text is cut into chunks
 that overlap, the chunks are dealt out over all tasks and encoded with offsets, and each
 returns how many of its tokens lie before each boundary in its overlaps.  Neighbours are
 spliced at a boundary that both found.
@@ -22,6 +23,7 @@ import os
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -36,7 +38,9 @@ WIDEN = 8
 TOKEN_LIMIT = 2048
 #: Boundaries that a chunk returns for each side, those nearest the middle.
 BOUNDARIES = 16
-BATCH_CHARS = 4_000_000
+BATCH_BYTES = 1_000_000
+#: Bound on the words whose token counts a task remembers.
+MOST_WORDS = 200_000
 
 
 @lru_cache(maxsize=4)
@@ -47,25 +51,58 @@ def _tokenizer(path: str):  # noqa: ANN202
     found = Tokenizer.from_file(path)
     found.no_truncation()
     found.no_padding()
+    count = lambda text: len(found.encode(text, add_special_tokens=False).ids)
+    parts = ("Don't", "stop", "42%")
+    if count(" \t\n\x0b\f\r ") or any(count(x.join(parts)) != sum(map(count, parts)) for x in _SPACES):
+        raise ValueError(f"{path}: this tokenizer doesn't drop white space, so texts can't be spliced after it")
     return found
 
 
+#: White space that parts words here; the tokenizer drops all of it.
+_SPACES = " \t\n\x0b\f\r"
+
+
+class Words:
+    """Token counts of words, kept for the most recent ones of a task.
+
+    The tokenizer drops white space and nothing reaches across it, so a text has the tokens of
+    its words, special strings in them included.  ``MOST_WORDS`` bounds the table.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer = _tokenizer(path)
+        self.known: dict[bytes, int] = {}
+
+    def counts(self, texts: list[bytes]) -> list[int]:
+        words = [t.split() for t in texts]
+        new = list(set(chain.from_iterable(words)).difference(self.known))
+        if new:
+            if len(self.known) > MOST_WORDS:
+                self.known = {}
+                new = list(set(chain.from_iterable(words)))
+            found = self.tokenizer.encode_batch_fast(
+                [w.decode("utf-8", "replace") for w in new], add_special_tokens=False
+            )
+            self.known.update(zip(new, map(len, found)))
+        return [sum(map(self.known.__getitem__, x)) for x in words]
+
+
 def _whole(path: str):  # noqa: ANN202
-    """Adds n_tokens in place of the last column, the text."""
+    """Adds n_tokens in place of the last column, the text in UTF-8."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
+        words = Words(path)
         for batch in batches:
             counts: list[int] = []
-            portion: list[str] = []
+            portion: list[bytes] = []
             size = 0
             for value in batch.column(batch.num_columns - 1):
                 portion.append(value.as_py())
                 size += len(portion[-1])
-                if size > BATCH_CHARS:
-                    counts += map(len, tokenizer.encode_batch_fast(portion, add_special_tokens=False))
+                if size > BATCH_BYTES:
+                    counts += words.counts(portion)
                     portion, size = [], 0
-            counts += map(len, tokenizer.encode_batch_fast(portion, add_special_tokens=False))
+            counts += words.counts(portion)
             own = batch.select(list(range(batch.num_columns - 1)))
             yield pa.record_batch(
                 [*own.columns, pa.array(counts, pa.int64())], names=[*own.schema.names, "n_tokens"]
@@ -164,7 +201,9 @@ def counted(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
     rows = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_tokens long"
-    parts = [rows.where(F.length("text") <= CHUNK_CHARS).mapInArrow(_whole(path), schema)]
+    short = rows.where(F.length("text") <= CHUNK_CHARS)
+    short = short.withColumn("text", F.col("text").cast("binary"))
+    parts = [short.mapInArrow(_whole(path), schema)]
 
     huge = stored(
         rows.where(F.length("text") > CHUNK_CHARS)
