@@ -23,7 +23,7 @@ def brute(rows):
                 gone[i : i + n] = b"\1" * n
         spans = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
         kept = bytes(b for b, g in zip(x, gone) if not g)
-        out.append((doc_id, len(x), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((doc_id, len(x), sum(gone), spans, hashlib.sha256(kept).hexdigest(), any(gone)))
     return sorted(out, key=repr)
 
 
@@ -66,3 +66,30 @@ def test_documents(spark, sf_dir):
 
 def test_empty(spark):
     assert ours(spark, []) == []
+
+
+def test_rows_keep_their_numbers_whatever_the_splits(spark, monkeypatch, tmp_path):
+    """Scans are split anew after each stored step, as when executors come and go."""
+    rows = fixture()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.repartition(12).write.parquet(str(tmp_path / "docs"))
+    true, sizes, old = suffix_dedup.stored, iter("4k 512m 1k 64k 8k 2k 512m 1k".split()), "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(old)
+
+    def stored(*args):
+        out = true(*args)
+        spark.conf.set(old, next(sizes))
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    try:
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        assert sorted(map(tuple, suffix_dedup.digests(docs).collect()), key=repr) == brute(rows)
+    finally:
+        spark.conf.set(old, before)
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "a" * 500, 7, 8), (2, None, 7, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row_no int, spans int")
+    assert sorted(map(tuple, suffix_dedup.digests(df).collect())) == brute([r[:2] for r in rows])

@@ -21,8 +21,7 @@ digests of 128 bits instead, in sums made before the shuffle; same results.
 
 Defined results: a null text is empty.  Repeated rows and copies are removed on all sides,
 as strings are judged on the input.  Texts shorter than LENGTH lose nothing.  An empty table
-gives an empty result.  ``docs`` must give the same rows in the same order each time that it
-is read, as files do.
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -294,16 +293,21 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row."""
-    rows = docs.select(
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, has_repeat for each row.
+
+    Rows are numbered and written once, as later scans must meet the same numbers whatever
+    cores come and go.
+    """
+    rows = stored(docs.select(
         F.monotonically_increasing_id().alias("row_no"),
         col(doc_id).alias("doc_id"),
         text_of(text).alias("text"),
-    )
+    ), "suffix-rows")
     found = stored(spans(rows), "suffix-spans")
     by_row = found.groupBy("row_no").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return (
         rows.join(by_row, "row_no", "left").select("doc_id", "text", "spans")
         .mapInArrow(_kept, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        .withColumn("has_repeat", F.col("n_removed") > 0)
     )
