@@ -177,3 +177,43 @@ def test_streams_and_backfills_share_a_view(spark, tmp_path):
     assert pipelines.stored(spark, view, root, {one: 0, "backfill": 0}).count() == 5
     with pytest.raises(ValueError):
         pipelines.stored(spark, view, root, 0)
+
+
+def test_a_wiped_checkpoint_is_a_new_stream(spark, sf_dir, tmp_path):
+    """A second stream at the path of the first keeps what that one stored."""
+    import shutil
+
+    view, root = maintained.by_user(), str(tmp_path / "out")
+    all_events = views.table(spark, sf_dir, "events").orderBy("event_id").limit(8)
+    first, second = (str(tmp_path / n) for n in ("first", "second"))
+    all_events.where("event_id % 8 < 5").repartition(5, "event_id").write.parquet(first)
+    all_events.where("event_id % 8 >= 5").repartition(3, "event_id").write.parquet(second)
+    feed(spark, first, [view], root, files=1)
+    name = pipelines.stream_id(f"{root}/_cp", spark)
+    shutil.rmtree(f"{root}/_cp")
+    feed(spark, second, [view], root, files=1)
+    assert pipelines.stream_id(f"{root}/_cp", spark) != name
+    total = pipelines.stored(spark, view, root).agg(F.sum("total_amount")).first()[0]
+    assert total == views.as_transactions(all_events).agg(F.sum("amount")).first()[0]
+
+
+def test_half_a_batch_does_not_count_and_a_retry_counts_once(spark, tmp_path, monkeypatch):
+    from tillflow.sources import files
+
+    root, view = str(tmp_path), maintained.RowView("kept", lambda: ["n", "created_at"])
+    rows = spark.sql("SELECT id AS n, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS created_at FROM range(10)")
+    pipelines.write_delta(view, rows.where("n < 4"), root, 0, "s1")
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(files, "write_text", fail)
+        pipelines.write_delta(view, rows.where("n >= 4"), root, 1, "s1")
+    assert pipelines.stored(spark, view, root).count() == 4
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(files, "delete", fail)
+        pipelines.write_delta(view, rows.where("n < 4"), root, 0, "s1")
+    assert pipelines.stored(spark, view, root).count() == 4
+    pipelines.write_delta(view, rows.where("n >= 4"), root, 1, "s1")
+    assert sorted(r.n for r in pipelines.stored(spark, view, root).collect()) == list(range(10))

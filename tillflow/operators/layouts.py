@@ -1,7 +1,8 @@
 """Alternate layouts of a table: re-sorted copies and pre-grouped summaries.
 
-The caller names the layout to read; they are refreshed by the job that loads
-the table and dropped by removing their table.
+The caller names the layout to read.  A layout takes deltas: what ``build`` makes of new
+rows alone is added beside what is stored, and reading merges them (``copies.follow`` does
+so for the files of a table).  Layouts are dropped by removing their folder or table.
 """
 
 from __future__ import annotations
@@ -15,7 +16,15 @@ from pyspark.sql import functions as F
 from tillflow.checks import positive
 from tillflow.functions import times
 from tillflow.operators.ranking import top
-from tillflow.operators.states import Measure, build_states, count_of, mean_of, read_states, sum_of
+from tillflow.operators.states import (
+    Measure,
+    build_states,
+    count_of,
+    mean_of,
+    merge_states,
+    read_states,
+    sum_of,
+)
 from tillflow.sources.tables import clustered
 
 COPIED = [
@@ -40,6 +49,10 @@ class SortedLayout:
     def build(self, txn: DataFrame, partitions: int | None = None) -> DataFrame:
         return clustered(txn.select(*COPIED), self.order, partitions)
 
+    def merge(self, stored: DataFrame, partitions: int | None = None) -> DataFrame:
+        """The rows of several deltas of the copy in one order."""
+        return clustered(stored, self.order, partitions)
+
 
 @dataclass(frozen=True)
 class GroupedLayout:
@@ -54,7 +67,13 @@ class GroupedLayout:
         grouped = build_states(txn, [k() for k in self.keys], self.measures)
         return grouped.coalesce(partitions) if partitions else grouped
 
+    def merge(self, stored: DataFrame, partitions: int | None = None) -> DataFrame:
+        """The states of several deltas, each group once."""
+        merged = merge_states(stored, list(self.key_names), self.measures)
+        return merged.coalesce(partitions) if partitions else merged
+
     def read(self, stored: DataFrame) -> DataFrame:
+        """Results, whatever number of deltas hold a group's states."""
         return read_states(stored, list(self.key_names), self.measures)
 
 

@@ -26,8 +26,8 @@ from tillflow.registry.sql_views import (
     select,
     total,
 )
-from tillflow.session import built, shared_dir
-from tillflow.sources import views
+from tillflow.session import shared_dir
+from tillflow.sources import copies, views
 from tillflow.sources.schemas import PAYMENT_METRIC
 from tillflow.streaming import pipelines
 from tillflow.streaming import views as maintained
@@ -43,14 +43,19 @@ BACKFILL_CUT = datetime(2024, 1, 15)
 
 
 def _states(spark, d, view) -> DataFrame:
-    """What a view has stored; the refresh job fills it at the first use."""
+    """What a view has stored, with the states of files that came since the last use added."""
 
-    def refresh(root: str) -> None:
-        pipelines.refresh(
-            _event_stream(spark, d), [view], root, f"{root}/_checkpoint", views.as_transactions
-        )
+    def add(paths: list[str], folder: str) -> None:
+        events = spark.read.schema(views.SCHEMAS["events"]).parquet(*paths)
+        save(view.delta(views.as_transactions(events)), folder)
+
+    def merge(folders: list[str], folder: str) -> None:
+        save(view.merge(copies.stored(spark, folders)), folder)
+
+    def save(states: DataFrame, folder: str) -> None:
+        states.withColumn("ym", times.yyyymm(view.month_of)).write.partitionBy("ym").parquet(folder)
 
-    return pipelines.stored(spark, view, built(spark, d, f"view-{view.name}", refresh))
+    return copies.copy_of(spark, f"{d}/events.parquet", f"view-{view.name}", add, merge)
 
 
 def _metric_states(spark, d) -> DataFrame:
@@ -753,7 +758,7 @@ def _(spark, d):
 
     running = pipelines.write_batches(_event_stream(spark, d), totals, f"{root}/out", f"{root}/_checkpoint")
     running.awaitTermination()
-    return pipelines.hourly_totals(spark.read.parquet(f"{root}/out"))
+    return pipelines.hourly_totals(pipelines.written(spark, f"{root}/out"))
 
 
 @query(
@@ -770,7 +775,7 @@ def _(spark, d):
 
     running = pipelines.write_batches(_event_stream(spark, d), thinned, f"{root}/out", f"{root}/_checkpoint")
     running.awaitTermination()
-    stored = pipelines.without_repeats(spark.read.parquet(f"{root}/out"), ["transaction_id"])
+    stored = pipelines.without_repeats(pipelines.written(spark, f"{root}/out"), ["transaction_id"])
     return stored.groupBy("status").agg(
         F.count("*").alias("transactions"),
         F.sum("amount").cast("decimal(38,2)").alias("revenue"),

@@ -12,8 +12,7 @@ from tillflow.operators.ranking import distinct
 from tillflow.registry import Registry
 from tillflow.registry.analytics import AS_OF, HIST_AS_OF, MERCHANT_ID
 from tillflow.registry.sql_views import HIST, METRICS, TXN, USERS, mean, select, total
-from tillflow.session import built
-from tillflow.sources import views
+from tillflow.sources import copies, views
 from tillflow.sources.tables import clustered
 
 REGISTRY = Registry()
@@ -22,24 +21,29 @@ query = REGISTRY.add
 AMOUNT, COUNT = total("amount"), "count(*)"
 
 
-# -- layouts: built once in the shared folder, then read --------------------
+# -- layouts: copies in the shared folder that follow the files of their table ------
 
 
 def _layout(spark, d, layout):
-    def build(path: str) -> None:
-        layouts.materialize(layout, views.txn(spark, d), path)
+    def add(paths: list[str], folder: str) -> None:
+        events = spark.read.schema(views.SCHEMAS["events"]).parquet(*paths)
+        layouts.materialize(layout, views.as_transactions(events), folder)
 
-    return layouts.load(spark, built(spark, d, layout.name, build))
+    def merge(folders: list[str], folder: str) -> None:
+        layout.merge(copies.stored(spark, folders)).write.parquet(folder)
+
+    return copies.copy_of(spark, f"{d}/events.parquet", layout.name, add, merge)
 
 
 def _monthly(spark, d, table: str, ts: str):
     """A copy of a table in folders of months."""
 
-    def build(path: str) -> None:
-        rows = views.table(spark, d, table).withColumn("ym", times.yyyymm(ts))
-        clustered(rows, ["ym", ts]).write.partitionBy("ym").parquet(path)
+    def add(paths: list[str], folder: str) -> None:
+        rows = spark.read.schema(views.SCHEMAS[table]).parquet(*paths)
+        rows = rows.withColumn("ym", times.yyyymm(ts))
+        clustered(rows, ["ym", ts]).write.partitionBy("ym").parquet(folder)
 
-    return spark.read.parquet(built(spark, d, f"monthly-{table}", build))
+    return copies.copy_of(spark, f"{d}/{table}.parquet", f"monthly-{table}", add)
 
 
 @query(
@@ -238,12 +242,13 @@ def _(spark, d):
 def _(spark, d):
     """Months of orders that are spread over more than one file."""
 
-    def build(path: str) -> None:
-        orders = views.table(spark, d, "orders").withColumn("ym", times.yyyymm("o_orderdate"))
+    def add(paths: list[str], folder: str) -> None:
+        orders = spark.read.schema(views.SCHEMAS["orders"]).parquet(*paths)
+        orders = orders.withColumn("ym", times.yyyymm("o_orderdate"))
         tasks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        orders.repartition(tasks).write.partitionBy("ym").parquet(path)
+        orders.repartition(tasks).write.partitionBy("ym").parquet(folder)
 
-    copy = spark.read.parquet(built(spark, d, "scattered-orders", build))
+    copy = copies.copy_of(spark, f"{d}/orders.parquet", "scattered-orders", add)
     return table_stats.many_files(copy, "ym", more_than=1)
 
 

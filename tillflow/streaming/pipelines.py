@@ -1,14 +1,19 @@
 """Streams that maintain views.
 
-``foreachBatch`` may run a batch twice, so a batch owns one folder per view,
-named by its stream and its id and overwritten as a whole: a repeated batch leaves
-exactly one copy, and streams and backfills into one view don't meet.  A stream is named
-by its checkpoint, so a new checkpoint is a new stream.  Readers merge the folders; :func:`compact_view` merges them for good.
+``foreachBatch`` may run a batch twice.  Each attempt writes a folder of its own and is then
+entered in the ledger of the target, an empty file whose name says stream, batch and attempt.
+Readers take the folders of the ledger, for each batch that of its last attempt: a repeated
+batch counts once and half a batch doesn't count.  A stream goes by the id that Spark keeps in
+its checkpoint, so a checkpoint that was wiped is a new stream, even at the same path, and
+streams and backfills into one view don't meet.  Readers merge the batches;
+:func:`compact_view` merges them for good.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -19,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.functions.times import yyyymm
 from tillflow.operators.merges import latest_version
+from tillflow.sources import files
 
 
 #: What one batch takes by default.
@@ -43,23 +49,61 @@ def stream_files(
     return reader.option("maxBytesPerTrigger", bytes_per_batch).parquet(path)
 
 
-def stream_id(checkpoint: str) -> str:
-    """The name of the stream that a checkpoint belongs to; backfills take any other name."""
-    return "s" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+def stream_id(checkpoint: str, spark: SparkSession | None = None) -> str:
+    """The name of the stream that a checkpoint belongs to; backfills take any other name.
+
+    It is the query's id, which the checkpoint holds from the first start on; before that, and
+    without a session, a name that no stream has.
+    """
+    spark = spark or SparkSession.getActiveSession()
+    text = files.read_text(spark, f"{checkpoint.rstrip('/')}/metadata") if spark else None
+    if text is None:
+        return "unstarted" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    return "s" + json.loads(text)["id"].replace("-", "")
+
+
+def _store(rows: DataFrame, target: str, stream: str, batch_id: int, columns: Sequence[str] = ()) -> None:
+    """Write one attempt of a batch and enter it in the ledger in place of an earlier one."""
+    spark, attempt = rows.sparkSession, "a" + uuid.uuid4().hex[:12]
+    rows.write.partitionBy(*columns).parquet(_folder(target, stream, batch_id, attempt))
+    earlier = [e for e in _ledger(spark, target) if e[:2] == (stream, batch_id)]
+    files.write_text(spark, f"{target}/_ledger/{stream}.{batch_id}.{attempt}", "")
+    for e in earlier:
+        files.delete(spark, [f"{target}/_ledger/{'.'.join(map(str, e[:3]))}", _folder(target, *e[:3])])
+
+
+def _folder(target: str, stream: str, batch_id: int, attempt: str) -> str:
+    return f"{target}/stream={stream}/batch_id={batch_id}/attempt={attempt}"
+
+
+def _ledger(spark: SparkSession, target: str) -> list[tuple[str, int, str, int]]:
+    """stream, batch, attempt and time of each entry."""
+    out = []
+    for f in files.listing(spark, f"{target}/_ledger"):
+        stream, batch_id, attempt = files.name_of(f.path).rsplit(".", 2)
+        out.append((stream, int(batch_id), attempt, f.modified))
+    return out
+
+
+def written(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of all batches that the ledger of a target has, with stream and batch_id."""
+    last: dict[tuple[str, int], tuple[int, str]] = {}
+    for stream, batch_id, attempt, at in _ledger(spark, target):
+        last[stream, batch_id] = max(last.get((stream, batch_id), (0, "")), (at, attempt))
+    if not last:
+        raise FileNotFoundError(f"no batch has been stored in {target}")
+    paths = [_folder(target, *key, attempt) for key, (_, attempt) in sorted(last.items())]
+    return spark.read.option("basePath", target).parquet(*paths).drop("attempt")
 
 
 def write_delta(view, rows: DataFrame, root: str, batch_id: int, stream: str = "backfill") -> None:
     """Store what one batch of a stream adds to a view, replacing an earlier attempt."""
     delta = view.delta(rows)
-    writer_columns = []
+    columns = []
     if view.month_of:
         delta = delta.withColumn("ym", yyyymm(view.month_of))
-        writer_columns = ["ym"]
-    (
-        delta.write.mode("overwrite")
-        .partitionBy(*writer_columns)
-        .parquet(f"{root}/{view.name}/stream={stream}/batch_id={batch_id}")
-    )
+        columns = ["ym"]
+    _store(delta, f"{root}/{view.name}", stream, batch_id, columns)
 
 
 def maintain(
@@ -78,14 +122,15 @@ def maintain(
 
     def feed(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
+        stream_name = stream_id(checkpoint, batch.sparkSession)
         if len(views) == 1:
-            write_delta(views[0], rows, root, batch_id, stream_id(checkpoint))
+            write_delta(views[0], rows, root, batch_id, stream_name)
             return
         # Several views read the batch; losing an executor only recomputes it.
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for view in views:
-                write_delta(view, rows, root, batch_id, stream_id(checkpoint))
+                write_delta(view, rows, root, batch_id, stream_name)
         finally:
             rows.unpersist()
 
@@ -122,7 +167,7 @@ def _of_batches(rows: DataFrame, up_to: int | dict[str, int]) -> Column:
 
 
 def _batches(spark: SparkSession, view, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{view.name}")
+    return written(spark, f"{root}/{view.name}")
 
 
 def stored(
@@ -206,12 +251,10 @@ def write_batches(
     checkpoint: str,
     **trigger,
 ) -> StreamingQuery:
-    """Store what ``prepare`` makes of each batch in the batch's own folder."""
-    stream_name = stream_id(checkpoint)
+    """Store what ``prepare`` makes of each batch; :func:`written` reads it."""
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        target = f"{root}/stream={stream_name}/batch_id={batch_id}"
-        prepare(batch).write.mode("overwrite").parquet(target)
+        _store(prepare(batch), root, stream_id(checkpoint, batch.sparkSession), batch_id)
 
     return (
         stream.writeStream.foreachBatch(keep)
