@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillflow.operators.quantiles import exact_quantiles, sketch_quantiles
 from tillflow.operators.states import (
-    build_states, count_of, distinct_of, max_of, mean_of, merge_states, min_of, quantile_of,
+    build_states, count_of, distinct_of, exact_distinct_of, exact_quantile_of, max_of, mean_of, merge_states, min_of, quantile_of,
     read_states, state_names, sum_of,
 )
 
@@ -107,3 +107,57 @@ def test_sketch_quantiles(spark):
     df = amounts(spark, [("a", 1, str(i)) for i in range(1, 101)])
     (row,) = sketch_quantiles(df, ["k"], "amount", [0.5, 0.99]).collect()
     assert row.p50 == 50.0 and row.p99 == 99.0
+
+
+EXACT = [
+    sum_of("total"), exact_distinct_of("bits", "user_id", dense=True), exact_distinct_of("values", "user_id"),
+    exact_quantile_of("p50", 0.5), exact_quantile_of("p99", 0.99),
+]
+
+
+def plain_exact(rows):
+    out = []
+    for k in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == k]
+        users = len({r[1] for r in own if r[1] is not None})
+        cents = sorted(round(100 * float(r[2])) for r in own if r[2] is not None)
+        at = lambda p: cents[max(int(np.ceil(p * len(cents))), 1) - 1] / 100 if cents else None
+        total = Decimal(sum(cents)) / 100 if cents else None
+        out.append((k, total, users, users, at(0.5), at(0.99)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_exact_states_of_any_split(spark, parts):
+    rng = random.Random(4)
+    rows = [
+        (rng.choice(["a", "b", None]), rng.choice([None, -5, 2**40, rng.randint(0, 70_000)]),
+         rng.choice([None, "-3.10", f"{rng.randint(1, 10**8) / 100:.2f}"]))
+        for _ in range(400)
+    ] + [("none", None, None)]
+    states = None
+    for i in range(parts):
+        part = build_states(amounts(spark, rows[i::parts]), ["k"], EXACT)
+        states = part if states is None else states.unionByName(part)
+    halfway = merge_states(states, ["k"], EXACT)
+    assert halfway.columns == states.columns
+    got = [(r[0], r[1], *r[2:]) for r in map(tuple, read_states(halfway, ["k"], EXACT).collect())]
+    assert sorted(got, key=repr) == plain_exact(rows)
+    only = read_states(halfway, ["k"], EXACT[2:3]).collect()
+    assert sorted((tuple(r) for r in only), key=repr) == sorted(((r[0], r[2]) for r in plain_exact(rows)), key=repr)
+
+
+def test_exact_states_of_large_groups(spark):
+    """Sketches are estimates at this size; these are not."""
+    n = 120_000
+    rows = spark.range(2 * n).select(
+        F.lit("x").alias("k"), (F.col("id") % n * 3).alias("user_id"),
+        ((F.col("id") * 7919) % 1_000_003 / 100).cast("decimal(18,2)").alias("amount"), (F.col("id") % 5).alias("day"),
+    )
+    days = build_states(rows, ["k", "day"], EXACT)
+    got = read_states(days, ["k"], EXACT).first()
+    cents = sorted(i * 7919 % 1_000_003 for i in range(2 * n))
+    assert (got.bits, got["values"]) == (n, n)
+    assert (got.p50, got.p99) == tuple(cents[int(np.ceil(p * 2 * n)) - 1] / 100 for p in (0.5, 0.99))
+    with pytest.raises(ValueError, match="no rows"):
+        read_states(build_states(rows, ["k"], EXACT[:1]), ["k"], EXACT)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 RANGE_BITS = 20
 
 
-def _label(p: float) -> str:
+def label(p: float) -> str:
     return f"p{p * 100:g}".replace(".", "_")
 
 
@@ -28,9 +28,18 @@ def exact_quantiles(
         .select(*keys, cents)
         .groupBy(*keys, "_c")
         .agg(F.count("*").alias("_n"))
-        .withColumn("_range", F.shiftright("_c", RANGE_BITS))
     )
+    return quantiles_of_counts(counted, keys, probabilities)
 
+
+def quantiles_of_counts(
+    counts: DataFrame, keys: list[str], probabilities: list[float], interpolate: bool = True
+) -> DataFrame:
+    """Quantiles from how often each amount occurs: ``counts`` has the keys, _c (cents) and _n.
+
+    Without ``interpolate`` a quantile is the least amount that the share doesn't exceed.
+    """
+    counted = counts.withColumn("_range", F.shiftright("_c", RANGE_BITS))
     by_range = Window.partitionBy(*keys).orderBy("_range")
     ranges = (
         counted.groupBy(*keys, "_range")
@@ -41,7 +50,9 @@ def exact_quantiles(
     )
 
     def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("_total") - 1)
+        if interpolate:
+            return F.lit(float(p)) * (F.col("_total") - 1)
+        return F.greatest(F.ceil(F.lit(float(p)) * F.col("_total")), F.lit(1)) - F.lit(1)
 
     def rank_low(p: float) -> Column:
         return F.floor(position(p))
@@ -77,17 +88,17 @@ def exact_quantiles(
     aggregates = [F.first("_total").alias("_total")]
     for p in probabilities:
         aggregates += [
-            value_at(rank_low(p)).alias(f"_lo_{_label(p)}"),
-            value_at(rank_high(p)).alias(f"_hi_{_label(p)}"),
+            value_at(rank_low(p)).alias(f"_lo_{label(p)}"),
+            value_at(rank_high(p)).alias(f"_hi_{label(p)}"),
         ]
     found = detail.groupBy(*keys).agg(*aggregates)
 
-    def interpolate(p: float) -> Column:
+    def between(p: float) -> Column:
         share = position(p) - rank_low(p)
-        lo, hi = F.col(f"_lo_{_label(p)}"), F.col(f"_hi_{_label(p)}")
-        return (lo * (1.0 - share) + hi * share).alias(_label(p))
+        lo, hi = F.col(f"_lo_{label(p)}"), F.col(f"_hi_{label(p)}")
+        return (lo * (1.0 - share) + hi * share).alias(label(p))
 
-    return found.select(*keys, *[interpolate(p) for p in probabilities])
+    return found.select(*keys, *[between(p) for p in probabilities])
 
 
 def sketch_quantiles(
@@ -97,5 +108,5 @@ def sketch_quantiles(
     values = F.percentile_approx(F.col(amount).cast("double"), list(probabilities), 10000)
     out = df.groupBy(*keys).agg(values.alias("_q"))
     return out.select(
-        *keys, *[F.col("_q")[i].alias(_label(p)) for i, p in enumerate(probabilities)]
+        *keys, *[F.col("_q")[i].alias(label(p)) for i, p in enumerate(probabilities)]
     )

@@ -4,6 +4,13 @@ A measure owns one or more plain state columns.  ``build_states`` fills them
 from rows, ``merge_states`` combines rows of states into fewer rows of states
 at any coarser key, ``read_states`` turns merged states into results.  All
 three are ordinary grouped aggregations and combine on the map side.
+
+Distinct counts and quantiles come in two kinds.  Sketches (``distinct_of``, ``quantile_of``)
+are columns like the others, exact for few values and estimates beyond.  The exact kind
+(``exact_distinct_of``, ``exact_quantile_of``) is exact for groups of any size: beside the row
+of a group there are rows of its parts, one for each slot, so that no group is ever gathered
+in one row.  A slot is a range of 32,768 ids with a bitmap, or a value with its count; merging
+is a bitwise or, or a sum.  Rows of parts have a name in ``_part`` and null in other states.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.money import TOTAL, ratio
 from tillflow.functions.money import total as money_total
+from tillflow.operators.quantiles import label, quantiles_of_counts
 
 HLL_LG_K = 12
 KLL_K = 200
@@ -32,11 +40,32 @@ class StateColumn:
     merge: Callable[[str], Column]
 
 
+@dataclass(frozen=True)
+class Part:
+    """Rows of slots that hold an exact state: of bitmaps, or of values with counts."""
+
+    name: str
+    source: str
+    bitmaps: bool
+    cents: bool = False
+
+    def slot(self) -> Column:
+        if self.bitmaps:
+            return F.bitmap_bucket_number(self.source)
+        return (F.col(self.source) * 100 if self.cents else F.col(self.source)).cast("long")
+
+
 @dataclass(frozen=True)
 class Measure:
     name: str
     states: tuple[StateColumn, ...]
-    result: Callable[[], Column]
+    result: Callable[[], Column] | None
+    part: Part | None = None
+    quantile: float | None = None
+
+
+#: Columns of the rows of parts.
+PART_COLUMNS = {"_part": "string", "_slot": "long", "_bits": "binary", "_n": "long"}
 
 
 def _sum_state(name: str, source: str) -> StateColumn:
@@ -91,6 +120,21 @@ def quantile_of(name: str, p: float, source: str = "amount", k: int = KLL_K) ->
     return Measure(name, (sketch,), lambda: F.kll_sketch_get_quantile_double(column, F.lit(p)))
 
 
+def exact_distinct_of(name: str, source: str, dense: bool = False) -> Measure:
+    """Distinct count of whole numbers, exact at any size.
+
+    ``dense`` keeps bitmaps: right for groups with many of the ids there are, as each range of
+    32,768 ids takes 4 KB.  Without it each value is a row, right for many small groups.
+    """
+    part = Part(f"{source}:{'bits' if dense else 'values'}", source, dense)
+    return Measure(name, (), None, part)
+
+
+def exact_quantile_of(name: str, p: float, source: str = "amount") -> Measure:
+    """The least amount that a share ``p`` of the group's amounts doesn't exceed, exactly."""
+    return Measure(name, (), None, Part(f"{source}:cents", source, False, True), p)
+
+
 def _columns(measures: Sequence[Measure]) -> list[StateColumn]:
     unique: dict[str, StateColumn] = {}
     for m in measures:
@@ -99,22 +143,103 @@ def _columns(measures: Sequence[Measure]) -> list[StateColumn]:
     return list(unique.values())
 
 
+def _parts(measures: Sequence[Measure]) -> list[Part]:
+    return list({m.part.name: m.part for m in measures if m.part}.values())
+
+
 def state_names(measures: Sequence[Measure]) -> list[str]:
     return [s.name for s in _columns(measures)]
 
 
 def build_states(df: DataFrame, keys: Sequence, measures: Sequence[Measure]) -> DataFrame:
-    """Rows to one row of states per key; keys may be names or columns."""
-    return df.groupBy(*keys).agg(*[s.build().alias(s.name) for s in _columns(measures)])
+    """Rows to one row of states per key; keys may be names or columns.
+
+    With exact measures the rows of their parts follow.
+    """
+    return _joined(_grouped(df, keys, [s.build().alias(s.name) for s in _columns(measures)]), [
+        _filled(df, keys, part) for part in _parts(measures)
+    ])
+
+
+def _grouped(df: DataFrame, keys: Sequence, columns: list[Column]) -> DataFrame:
+    return df.groupBy(*keys).agg(*columns) if columns else df.select(*keys).distinct()
+
+
+def _filled(df: DataFrame, keys: Sequence, part: Part) -> DataFrame:
+    grouped = df.where(F.col(part.source).isNotNull()).groupBy(*keys, part.slot().alias("_slot"))
+    if part.bitmaps:
+        out = grouped.agg(F.bitmap_construct_agg(F.bitmap_bit_position(part.source)).alias("_bits"))
+    else:
+        out = grouped.agg(F.count("*").alias("_n"))
+    return out.withColumn("_part", F.lit(part.name))
+
+
+def _joined(plain: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    """State rows and rows of parts in one table, with the same columns whatever parts there are."""
+    if not parts:
+        return plain
+    out = plain.withColumns({c: F.lit(None).cast(kind) for c, kind in PART_COLUMNS.items()})
+    for part in parts:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _merged(df: DataFrame, keys: Sequence, measures: Sequence[Measure]) -> tuple[DataFrame, list[DataFrame]]:
+    """Merged states, and the merged rows of each wanted kind of parts."""
+    has_parts = "_part" in df.columns
+    plain = df.where("_part IS NULL") if has_parts else df
+    plain = _grouped(plain, keys, [s.merge(s.name).alias(s.name) for s in _columns(measures)])
+    out = []
+    for bitmaps in (True, False):
+        names = [p.name for p in _parts(measures) if p.bitmaps == bitmaps]
+        if not names:
+            continue
+        if not has_parts:
+            raise ValueError(f"these states have no rows for {names}")
+        slots = df.where(F.col("_part").isin(names)).groupBy(*keys, "_part", "_slot")
+        merged = F.bitmap_or_agg("_bits").alias("_bits") if bitmaps else F.sum("_n").alias("_n")
+        out.append(slots.agg(merged))
+    return plain, out
 
 
 def merge_states(df: DataFrame, keys: Sequence, measures: Sequence[Measure]) -> DataFrame:
     """States to states at the given (same or coarser) keys."""
-    return df.groupBy(*keys).agg(*[s.merge(s.name).alias(s.name) for s in _columns(measures)])
+    return _joined(*_merged(df, keys, measures))
 
 
 def read_states(df: DataFrame, keys: Sequence, measures: Sequence[Measure]) -> DataFrame:
     """Merge and turn into results."""
-    merged = merge_states(df, keys, measures)
-    names = [c for c in merged.columns if c not in set(state_names(measures))]
-    return merged.select(*names, *[m.result().alias(m.name) for m in measures])
+    plain, parts = _merged(df, keys, measures)
+    names = [c for c in plain.columns if c not in set(state_names(measures))]
+    out = plain.select(*names, *[m.result().alias(m.name) for m in measures if m.result])
+    if not parts:
+        return out
+    for rows in parts:
+        out = out.unionByName(_counted(rows, names, measures), allowMissingColumns=True)
+        for name in {m.part.name for m in measures if m.quantile is not None and "_n" in rows.columns}:
+            found = _quantiles(rows.where(F.col("_part") == name), names, name, measures)
+            out = out.unionByName(found, allowMissingColumns=True)
+    none = {m.name for m in measures if m.part and m.quantile is None}
+    one = [F.max(m.name) if m.name not in none else F.coalesce(F.max(m.name), F.lit(0)) for m in measures]
+    return out.groupBy(*names).agg(*[c.cast(_kind(m, plain)).alias(m.name) for c, m in zip(one, measures)])
+
+
+def _kind(m: Measure, plain: DataFrame) -> str:
+    if m.result:
+        return plain.select(m.result().alias("x")).schema["x"].dataType.simpleString()
+    return "long" if m.quantile is None else "double"
+
+
+def _counted(rows: DataFrame, keys: list[str], measures: Sequence[Measure]) -> DataFrame:
+    """Distinct counts from merged rows of parts."""
+    size = F.bitmap_count("_bits") if "_bits" in rows.columns else F.lit(1)
+    wanted = [m for m in measures if m.part and m.quantile is None and m.part.bitmaps == ("_bits" in rows.columns)]
+    of = [F.sum(F.when(F.col("_part") == m.part.name, size)).alias(m.name) for m in wanted]
+    return _grouped(rows, keys, of)
+
+
+def _quantiles(rows: DataFrame, keys: list[str], part: str, measures: Sequence[Measure]) -> DataFrame:
+    wanted = [m for m in measures if m.quantile is not None and m.part.name == part]
+    counts = rows.select(*keys, F.col("_slot").alias("_c"), "_n")
+    found = quantiles_of_counts(counts, keys, sorted({m.quantile for m in wanted}), interpolate=False)
+    return found.select(*keys, *[F.col(label(m.quantile)).alias(m.name) for m in wanted])

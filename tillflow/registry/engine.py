@@ -11,7 +11,7 @@ from tillflow.clock import last_days, last_hours_rolling, moment
 from tillflow.functions import times
 from tillflow.operators import merges
 from tillflow.operators.joins import enrich
-from tillflow.operators.states import quantile_of, read_states
+from tillflow.operators.states import PART_COLUMNS, exact_quantile_of, read_states
 from tillflow.plans import customers
 from tillflow.registry import Registry
 from tillflow.registry.analytics import AS_OF, MERCHANT_ID
@@ -58,8 +58,8 @@ def _states(spark, d, view) -> DataFrame:
     return copies.copy_of(spark, f"{d}/events.parquet", f"view-{view.name}", add, merge)
 
 
-def _metric_states(spark, d) -> DataFrame:
-    return _states(spark, d, maintained.payment_metrics())
+def _metric_states(spark, d, sketches: bool = False) -> DataFrame:
+    return _states(spark, d, maintained.payment_metrics(sketches))
 
 
 @query(
@@ -74,7 +74,7 @@ def _metric_states(spark, d) -> DataFrame:
 )
 def _(spark, d):
     states = maintained.payment_metrics().delta(views.txn(spark, d))
-    return states.drop("unique_users_hll", "amount_kll")
+    return states.where("_part IS NULL").drop("amount_kll", *PART_COLUMNS)
 
 
 _SKETCHED = ("unique_customers", "median_transaction", "p99_transaction")
@@ -134,9 +134,9 @@ def _(spark, d):
     )
 
 
-def _full_statistics(states: DataFrame) -> DataFrame:
+def _full_statistics(states: DataFrame, sketches: bool = False) -> DataFrame:
     """Everything the metric states hold, per merchant and category."""
-    view = maintained.payment_metrics()
+    view = maintained.payment_metrics(sketches)
     merged = read_states(states, ["merchant_id", "category"], view.measures)
     return merged.select(
         "merchant_id",
@@ -173,8 +173,9 @@ def _(spark, d):
 
 @query("state_merge_full_sketches")
 def _(spark, d):
-    """The same with users and percentiles, which are estimates in large groups."""
-    return _full_statistics(last_days(_metric_states(spark, d), 30, AS_OF, ts="metric_date"))
+    """The same with users and percentiles as sketches, which are estimates in large groups."""
+    states = _metric_states(spark, d, sketches=True)
+    return _full_statistics(last_days(states, 30, AS_OF, ts="metric_date"), sketches=True)
 
 
 @query(
@@ -205,17 +206,26 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    """Merchants and users per category, merged from daily sketches per status."""
+    """Merchants and users per category, merged from daily bitmaps per status; exact."""
     view = maintained.category_stats()
     counts = [m for m in view.measures if m.name.startswith("unique_")]
     return read_states(_states(spark, d, view), ["category"], counts)
 
 
-@query("quantile_state_merge")
+@query(
+    "quantile_state_merge",
+    select(
+        """SELECT category, quantile_disc(CAST(amount AS DOUBLE), 0.5) AS p50,
+          quantile_disc(CAST(amount AS DOUBLE), 0.95) AS p95,
+          quantile_disc(CAST(amount AS DOUBLE), 0.99) AS p99
+        FROM txn GROUP BY category""",
+        TXN,
+    ),
+)
 def _(spark, d):
-    """Quantiles per category from daily sketches."""
-    wanted = [quantile_of(f"p{int(p * 100)}", p) for p in (0.5, 0.95, 0.99)]
-    return read_states(_metric_states(spark, d), ["category"], wanted)
+    """Quantiles per category from daily counts of amounts per status; exact."""
+    wanted = [exact_quantile_of(f"p{int(p * 100)}", p) for p in (0.5, 0.95, 0.99)]
+    return read_states(_states(spark, d, maintained.category_stats()), ["category"], wanted)
 
 
 @query(

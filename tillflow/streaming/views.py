@@ -20,6 +20,8 @@ from tillflow.operators.states import (
     build_states,
     count_of,
     distinct_of,
+    exact_distinct_of,
+    exact_quantile_of,
     mean_of,
     merge_states,
     quantile_of,
@@ -28,11 +30,10 @@ from tillflow.operators.states import (
 )
 
 
-# Views with few groups can afford larger sketches.  Quantiles are then exact up
-# to about 4000 rows and within 0.1 % of the rank beyond; distinct counts are
-# exact up to about 6000 values and within 0.5 % beyond.
-FEW_GROUPS_K = 4096
-FEW_GROUPS_LG_K = 16
+# Distinct counts of views are exact at any size: views of few large groups keep bitmaps of
+# ids, those of many small ones the ids themselves.  ``payment_metrics`` keeps quantiles of
+# many groups as sketches, which are exact for few amounts only; those of ``category_stats``
+# are exact.
 
 
 @dataclass(frozen=True)
@@ -118,7 +119,7 @@ def hourly_revenue() -> GroupedView:
         (
             sum_of("total_amount"),
             count_of("transaction_count"),
-            distinct_of("unique_users", "user_id"),
+            exact_distinct_of("unique_users", "user_id"),
             mean_of("avg_amount"),
         ),
         month_of="hour",
@@ -150,10 +151,10 @@ def category_stats() -> GroupedView:
         (
             sum_of("total_amount"),
             count_of("transaction_count"),
-            distinct_of("unique_merchants", "merchant_id", FEW_GROUPS_LG_K),
-            distinct_of("unique_users", "user_id", FEW_GROUPS_LG_K),
-            quantile_of("median_amount", 0.5, k=FEW_GROUPS_K),
-            quantile_of("p95_amount", 0.95, k=FEW_GROUPS_K),
+            exact_distinct_of("unique_merchants", "merchant_id", dense=True),
+            exact_distinct_of("unique_users", "user_id", dense=True),
+            exact_quantile_of("median_amount", 0.5),
+            exact_quantile_of("p95_amount", 0.95),
         ),
         month_of="stat_date",
     )
@@ -169,7 +170,7 @@ def daily_merchant_summary() -> GroupedView:
         (
             sum_of("revenue"),
             count_of("orders"),
-            distinct_of("customers", "user_id"),
+            exact_distinct_of("customers", "user_id"),
             mean_of("avg_order"),
         ),
         where=lambda: F.col("status") == "completed",
@@ -187,12 +188,15 @@ def daily_summary() -> GroupedView:
     )
 
 
-def payment_metrics() -> GroupedView:
-    """Daily metric states per merchant, category and currency."""
+def payment_metrics(sketches: bool = False) -> GroupedView:
+    """Daily metric states per merchant, category and currency.
+
+    ``sketches`` keeps users as sketches too, in the one row of a group.
+    """
     from tillflow.operators.states import max_of, min_of
 
     return GroupedView(
-        "payment_metrics",
+        "payment_metrics_sketched" if sketches else "payment_metrics",
         {
             "merchant_id": lambda: F.col("merchant_id"),
             "category": lambda: F.col("category"),
@@ -205,7 +209,9 @@ def payment_metrics() -> GroupedView:
             mean_of("avg_amount"),
             min_of("min_amount"),
             max_of("max_amount"),
-            distinct_of("unique_users", "user_id"),
+            distinct_of("unique_users", "user_id")
+            if sketches
+            else exact_distinct_of("unique_users", "user_id"),
             quantile_of("amount_p50", 0.5),
             quantile_of("amount_p99", 0.99),
         ),
