@@ -94,3 +94,15 @@ def test_a_broken_delta_is_made_again_and_deltas_merge(spark, growing, tmp_path,
 
 def test_an_empty_source_has_no_folders(spark, tmp_path):
     assert copies.follow(spark, f"{tmp_path}/none", f"{tmp_path}/copy", None) == []
+
+
+def test_a_sample_reads_its_share_of_files_and_its_interval_holds(spark, sf_dir):
+    from tillflow.registry import storage
+
+    sample = storage._user_sample(spark, sf_dir)
+    plan = sample._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan and "slot" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+    run = lambda name: {r.category: r for r in registry.queries()[name](spark, "/root/testdata/sf0.01").collect()}
+    true, held = run("category_totals"), run("category_sample10_interval")
+    inside = [held[c].revenue_low <= float(r.total_revenue) <= held[c].revenue_high for c, r in true.items()]
+    assert sum(inside) >= len(inside) - 1

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillflow.operators.quantiles import exact_quantiles, sketch_quantiles
 from tillflow.operators.states import (
     build_states, count_of, distinct_of, exact_distinct_of, exact_quantile_of, max_of, mean_of, merge_states, min_of, quantile_of,
-    read_states, state_names, sum_of,
+    read_states, state_names, sum_of, top_of,
 )
 
 MEASURES = [
@@ -161,3 +161,20 @@ def test_exact_states_of_large_groups(spark):
     assert (got.p50, got.p99) == tuple(cents[int(np.ceil(p * 2 * n)) - 1] / 100 for p in (0.5, 0.99))
     with pytest.raises(ValueError, match="no rows"):
         read_states(build_states(rows, ["k"], EXACT[:1]), ["k"], EXACT)
+
+
+def test_top_states_merge_and_bound_their_error(spark):
+    rows = spark.range(60_000).select(
+        (F.col("id") % 2).alias("k"), F.expr("id % 6").alias("day"),
+        F.when(F.col("id") % 10 < 4, F.lit("b")).when(F.col("id") % 10 < 8, F.lit("a"))
+        .otherwise(F.concat(F.lit("x"), F.col("id").cast("string"))).alias("c"),
+    )
+    measure = [top_of("best", "c", 50)]
+    merged = read_states(build_states(rows, ["k", "day"], measure), ["k"], measure)
+    got = {r.k: r.best for r in merged.collect()}
+    for k, best in got.items():
+        true = {r.c: r["count"] for r in rows.where(f"k = {k} AND c IN ('a', 'b')").groupBy("c").count().collect()}
+        assert best.value in true and 0 < best.error < 30_000
+        assert abs(best["count"] - true[best.value]) <= best.error
+    small = read_states(build_states(rows.where("id < 40"), ["k", "day"], measure), ["k"], measure).collect()
+    assert {(r.k, *r.best) for r in small} == {(0, "a", 8, 0), (1, "a", 8, 0)}

@@ -353,3 +353,17 @@ def test_of_two_compactions_one_fails(spark, transactions, monkeypatch):
     assert ids(spark, transactions) == ["t0", "t1", "t2"]
     tables.compact(spark, transactions, {"ym": 199901}, same, ["ym"], 1)
     assert ids(spark, transactions) == ["t0", "t1", "t2"]
+
+
+def test_files_follow_bytes_not_the_session(spark, tmp_path):
+    def written(rows):
+        source, target = f"{tmp_path}/s{rows}", f"{tmp_path}/t{rows}"
+        spark.range(rows).select("id", (F.rand(1) * 1e9).alias("x")).write.parquet(source)
+        tables.clustered(spark.read.parquet(source), ["x"], file_bytes=60_000).write.parquet(target)
+        return len(spark.read.parquet(target).inputFiles())
+
+    small, large = written(50_000), written(500_000)
+    assert 8 <= small <= 16 and 9 * small <= large <= 11 * small
+    unknown = spark.createDataFrame([(k,) for k in range(50)], "x int")
+    assert tables.planned_bytes(unknown) is None
+    assert tables.clustered(unknown, ["x"]).count() == 50

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillflow.checks import positive
 from tillflow.functions import times
+from tillflow.functions.sampling import sample_slot
 from tillflow.operators.ranking import top
 from tillflow.operators.states import (
     Measure,
@@ -77,6 +78,25 @@ class GroupedLayout:
         return read_states(stored, list(self.key_names), self.measures)
 
 
+@dataclass(frozen=True)
+class SampledLayout:
+    """A copy in ``slots`` folders by a checksum of a key: a share of keys reads a share of files."""
+
+    name: str
+    key: str
+    slots: int = 10
+
+    def save(self, txn: DataFrame, path: str) -> None:
+        """Write the copy, each slot sorted by the key and spread by it."""
+        rows = txn.select(*COPIED).withColumn("slot", sample_slot(self.key, self.slots))
+        clustered(rows, ("slot", self.key)).write.partitionBy("slot").parquet(path)
+
+    def sample(self, stored: DataFrame, slots: int = 1) -> DataFrame:
+        """All rows of about ``slots / self.slots`` of the keys."""
+        return stored.where(F.col("slot") < positive("slots", slots)).drop("slot")
+
+
+BY_USER_SAMPLE = SampledLayout("by_user_sample", "user_id")
 BY_MERCHANT = SortedLayout("by_merchant", ("merchant_id", "created_at", "transaction_id"))
 BY_CATEGORY = SortedLayout("by_category", ("category", "created_at", "transaction_id"))
 

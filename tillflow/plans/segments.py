@@ -102,6 +102,26 @@ def category_totals_sampled(
     )
 
 
+def category_totals_interval(sample: DataFrame, one_in: int, z: float = 1.96) -> DataFrame:
+    """Totals of categories estimated from a sample of one user in n, with an interval.
+
+    ``sample`` has all payments of the sampled users.  Users are drawn independently with
+    probability 1/n, so the variance of a scaled sum is n (n - 1) times the sum of the squares
+    of what each sampled user adds; the interval is z standard errors wide on each side.
+    """
+    of_user = sample.groupBy("category", "user_id").agg(
+        F.count("*").alias("n"), money.total("amount").alias("spent")
+    )
+    spread = F.sqrt(F.sum(F.pow(F.col("spent").cast("double"), 2)) * one_in * (one_in - 1)) * z
+    revenue = F.sum("spent").cast("double") * one_in
+    return of_user.groupBy("category").agg(
+        (F.sum("n") * one_in).alias("total_count"),
+        F.round(revenue, 2).alias("total_revenue"),
+        F.round(revenue - spread, 2).alias("revenue_low"),
+        F.round(revenue + spread, 2).alias("revenue_high"),
+    )
+
+
 def heavy_groups(txn: DataFrame, min_rows: int, keys=("category", "status")) -> DataFrame:
     """Groups with more than ``min_rows`` payments."""
     positive("min_rows", min_rows)

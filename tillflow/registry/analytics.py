@@ -470,7 +470,16 @@ def _(spark, d):
     return segments.category_totals(views.txn(spark, d), 365, AS_OF)
 
 
-@query("category_sample10")
+@query(
+    "category_sample10",
+    select(
+        f"""SELECT category, {COUNT} * 10 AS total_count,
+          CAST({AMOUNT} * 10 AS DECIMAL(38,2)) AS total_revenue
+        FROM txn WHERE ('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 10 = 0
+        GROUP BY category""",
+        TXN,
+    ),
+)
 def _(spark, d):
     return segments.category_totals_sampled(views.txn(spark, d), 10, 365, AS_OF)
 

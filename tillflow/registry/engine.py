@@ -228,6 +228,28 @@ def _(spark, d):
     return read_states(_states(spark, d, maintained.category_stats()), ["category"], wanted)
 
 
+@query(
+    "topk_state_merge",
+    select(
+        """SELECT user_id, category AS favorite_category, n AS favorite_count,
+          CAST(0 AS BIGINT) AS count_error
+        FROM (SELECT user_id, category, count(*) AS n FROM txn GROUP BY 1, 2)
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, category) = 1""",
+        TXN,
+    ),
+)
+def _(spark, d):
+    """Favourite category of each user from weekly top-k states."""
+    view = maintained.user_favorites()
+    read = read_states(_states(spark, d, view), ["user_id"], view.measures)
+    return read.select(
+        "user_id",
+        F.col("favorite.value").alias("favorite_category"),
+        F.col("favorite.count").alias("favorite_count"),
+        F.col("favorite.error").alias("count_error"),
+    )
+
+
 @query(
     "aggregating_final",
     select(

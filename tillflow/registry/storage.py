@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 from tillflow.functions import times
 from tillflow.operators import layouts, lifecycle, table_stats
 from tillflow.operators.ranking import distinct
+from tillflow.plans import segments
 from tillflow.registry import Registry
 from tillflow.registry.analytics import AS_OF, HIST_AS_OF, MERCHANT_ID
 from tillflow.registry.sql_views import HIST, METRICS, TXN, USERS, mean, select, total
-from tillflow.sources import copies, views
+from tillflow.session import discard, shared_dir
+from tillflow.sources import copies, tables, views
 from tillflow.sources.tables import clustered
 
 REGISTRY = Registry()
@@ -125,6 +128,106 @@ def _(spark, d):
     )
 
 
+_SAMPLED = select(
+    f"""SELECT category, {COUNT} * 10 AS total_count,
+      CAST({AMOUNT} * 10 AS DECIMAL(38,2)) AS total_revenue
+    FROM txn WHERE ('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 10 = 0
+    GROUP BY category""",
+    TXN,
+)
+
+
+def _user_sample(spark, d):
+    """Payments of one user in ten, from a copy that keeps the slots of users apart."""
+    layout = layouts.BY_USER_SAMPLE
+
+    def add(paths: list[str], folder: str) -> None:
+        events = spark.read.schema(views.SCHEMAS["events"]).parquet(*paths)
+        layout.save(views.as_transactions(events), folder)
+
+    return layout.sample(copies.copy_of(spark, f"{d}/events.parquet", layout.name, add))
+
+
+@query("category_sample10_layout", _SAMPLED)
+def _(spark, d):
+    """The totals of ``category_sample10`` from a tenth of the files."""
+    return (
+        _user_sample(spark, d)
+        .groupBy("category")
+        .agg(
+            (F.count("*") * 10).alias("total_count"),
+            (F.sum("amount") * 10).cast("decimal(38,2)").alias("total_revenue"),
+        )
+    )
+
+
+@query(
+    "category_sample10_interval",
+    select(
+        """SELECT category, CAST(sum(n) * 10 AS BIGINT) AS total_count,
+          round(sum(spent) * 10, 2) AS total_revenue,
+          round(sum(spent) * 10 - 1.96 * sqrt(sum(spent * spent) * 90), 2) AS revenue_low,
+          round(sum(spent) * 10 + 1.96 * sqrt(sum(spent * spent) * 90), 2) AS revenue_high
+        FROM (SELECT category, user_id, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS spent
+          FROM txn WHERE ('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 10 = 0
+          GROUP BY 1, 2)
+        GROUP BY category""",
+        TXN,
+    ),
+)
+def _(spark, d):
+    return segments.category_totals_interval(_user_sample(spark, d), 10)
+
+
+# -- partitions of catalog tables --------------------------------------------
+
+
+@query(
+    "partition_round_trip",
+    """SELECT CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'archive' ELSE 'table' END AS place,
+      CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS ym, count(*) AS orders,
+      CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total,
+      min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+    FROM orders GROUP BY 1, 2""",
+)
+def _(spark, d):
+    """Orders by month after a month was detached, filled, attached and compacted, and 1995 archived.
+
+    Half of the rows come while months are detached and after they were archived.
+    """
+    database, name = "tillflow_scratch", f"orders_{uuid.uuid4().hex[:12]}"
+    table, archive = f"{database}.{name}", f"{database}.{name}_archive"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    orders = views.table(spark, d, "orders").withColumn("ym", times.yyyymm("o_orderdate"))
+    schema = orders.schema
+    for t in (table, archive, f"{table}_detached"):
+        tables.create_table(spark, t, schema, ["ym"], location=shared_dir(spark, "round-trip"))
+    early, late = (tables.clustered(orders.where(F.col("o_orderkey") % 2 == k), ["ym", "o_orderkey"]) for k in (0, 1))
+    month, year = {"ym": 199703}, [{"ym": 199500 + m} for m in range(1, 13)]
+    tables.append(early, table, ["ym"])
+    tables.detach_partition(spark, table, month)
+    for old in year:
+        tables.move_partition(spark, table, archive, old)
+    tables.append(late, table, ["ym"])
+    tables.attach_partition(spark, table, month)
+    tables.compact(spark, table, month, lambda rows: rows, ["ym", "o_orderkey"])
+    for old in year:
+        tables.move_partition(spark, table, archive, old)
+    placed = [spark.table(t).withColumn("place", F.lit(p)) for t, p in ((table, "table"), (archive, "archive"))]
+    path = shared_dir(spark, "round-trip-months")
+    placed[0].unionByName(placed[1]).groupBy("place", "ym").agg(
+        F.count("*").alias("orders"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"),
+        F.min("o_orderkey").alias("first_key"),
+        F.max("o_orderkey").alias("last_key"),
+    ).write.parquet(path)
+    for t in (table, archive, f"{table}_detached"):
+        at = tables.location(spark, t)
+        tables.drop_table(spark, t)
+        discard(spark, at)
+    return spark.read.parquet(path)
+
+
 # -- age rules --------------------------------------------------------------
 
 

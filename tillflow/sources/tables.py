@@ -93,15 +93,30 @@ def with_defaults(df: DataFrame, schema: StructType, defaults: dict[str, str]) -
     return df.select(*columns)
 
 
-def clustered(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+#: Bytes of a file that :func:`clustered` aims at.
+FILE_BYTES = 128 << 20
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """What Spark expects the rows to take; None where it has no idea."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else None
+
+
+def clustered(
+    df: DataFrame, order: Sequence[str], partitions: int | None = None, file_bytes: int = FILE_BYTES
+) -> DataFrame:
     """Rows range-partitioned and sorted by ``order``, ready to be written.
 
     Ranges follow the row counts, so a month or user that holds a third of the
     rows is spread over a third of the tasks, files come out even, and their
-    min/max statistics stay narrow.  The number of ranges is ``partitions`` or
-    ``spark.sql.shuffle.partitions``; AQE merges small ranges and splits none, so
-    a large load names about its bytes divided by 128 MB.
+    min/max statistics stay narrow.  The number of ranges is ``partitions``, or the
+    planned bytes (of files: those that are read) divided by ``file_bytes``, whatever
+    ``spark.sql.shuffle.partitions`` says; rows of unknown size take that setting, and
+    AQE merges small ranges.
     """
+    if partitions is None and (size := planned_bytes(df)) is not None:
+        partitions = max(1, -(-size // file_bytes))
     ranged = (
         df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )

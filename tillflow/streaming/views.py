@@ -27,6 +27,7 @@ from tillflow.operators.states import (
     quantile_of,
     read_states,
     sum_of,
+    top_of,
 )
 
 
@@ -188,6 +189,19 @@ def daily_summary() -> GroupedView:
     )
 
 
+def user_favorites() -> GroupedView:
+    """What each user buys most, by week."""
+    return GroupedView(
+        "user_favorites",
+        {
+            "user_id": lambda: F.col("user_id"),
+            "week": lambda: times.week_start("created_at", "monday"),
+        },
+        (top_of("favorite", "category"), count_of("payments")),
+        month_of="week",
+    )
+
+
 def payment_metrics(sketches: bool = False) -> GroupedView:
     """Daily metric states per merchant, category and currency.
 
