@@ -1,9 +1,10 @@
 """Quality rules by the divergence of a document from its language.
 
 Each document has two histograms: the classes of its characters (upper case, digits,
-white space, punctuation, symbols, all else) and its common words (a fixed list, and one
-bin for all other words).  The reference of a language is the mean of the histograms of all
-its documents that pass the base rules.  A document is rejected when the Jensen-Shannon
+white space, punctuation, symbols, all else) and the common words of its language (a bin for
+each of the ``COMMON`` words with a letter that the language's documents have most often, in
+lower case, and one for all other words).  The words are counted over all documents.  The reference of a
+language is the mean of the histograms of all its documents that pass the base rules.  A document is rejected when the Jensen-Shannon
 distance (base 2, so 0 to 1) between one of its histograms and the reference exceeds a
 limit.  Short documents have noisy histograms, so a histogram is judged only from
 ``min_chars`` characters or ``min_words`` words on.
@@ -20,21 +21,14 @@ part, and carried ones keep their values, as the helper columns take free names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import col, fresh, stored, text_of, total, words_of
 
-# Frequent words of four languages.
-COMMON_WORDS = (
-    "the of and to in is that for with was are on as be by this from it at not "
-    "der die und das von zu mit den ist ein eine im auf für dem sich nicht "
-    "le la les de des du et un une que qui est en dans pour sur pas au "
-    "el los las del y una por con se para es su al como"
-).split()
-LONGEST_COMMON = max(map(len, COMMON_WORDS))
-LETTERS = [chr(ord("0") + i) for i in range(len(COMMON_WORDS))]
-SLOTS = 4096
+#: Common words of each language.
+COMMON = 32
+LETTERS = [chr(ord("0") + i) for i in range(COMMON)]
 #: Most characters of a text; the classes are counted in what is left.
 BULK = "[a-z ]+"
 #: Runs of characters outside a class; the class is what is left without them.
@@ -47,7 +41,7 @@ OUTSIDE = {
 NO_SYMBOLS = "[^#*$%&|<>]+"
 
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.25, 0.28
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.25, 0.32
 MIN_CHARS_JUDGED, MIN_WORDS_JUDGED = 300, 120
 
 
@@ -89,44 +83,53 @@ def _repeated_words(order: Column) -> Column:
     )
 
 
-def _letter(spark: SparkSession):
-    """A function that turns a common word into its letter and any other into nothing.
+def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """ref_lang, common: the most frequent words of each language, the first the most frequent.
 
-    The place of each word in a table comes from its hash, so a word costs one look.
+    Words without a letter don't count.
+
+    Counts are summed before the shuffle, and each task keeps COMMON words of a language at
+    most before these meet.  Ties go to the smaller word.
     """
-    places = dict.fromkeys(range(SLOTS), -1)
-    rows = spark.range(1).select(
-        *[F.pmod(F.xxhash64(F.lit(x)), F.lit(SLOTS)).alias(x) for x in COMMON_WORDS]
-    ).first()
-    for k, x in enumerate(COMMON_WORDS):
-        if places[rows[x]] >= 0:
-            raise ValueError(f"{x} and {COMMON_WORDS[places[rows[x]]]} share a slot")
-        places[rows[x]] = k
-    table = lambda of: F.split(  # noqa: E731  a literal, made in one call
-        F.lit(" ".join(of[k] if k >= 0 else "" for k in places.values())), " "
+    words = docs.select(
+        F.coalesce(col(lang), F.lit("")).alias("ref_lang"),
+        F.explode(words_of(F.lower(text_of(text)))).alias("word"),
     )
-    word, letter = table(COMMON_WORDS), table(LETTERS)
-
-    def of(x: Column) -> Column:
-        slot = F.pmod(F.xxhash64(x), F.lit(SLOTS)).cast("int")
-        return F.when(F.get(word, slot) == x, F.get(letter, slot)).otherwise("")
+    ranked = words.where(F.col("word").rlike(r"\p{L}")).groupBy("ref_lang", "word").agg(F.count("*").alias("n")).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("ref_lang").orderBy(F.desc("n"), "word"))
+    )
+    best = F.sort_array(F.collect_list(F.struct("rank", "word")))
+    return (
+        ranked.where(F.col("rank") <= COMMON).groupBy("ref_lang").agg(best.alias("best"))
+        .select("ref_lang", F.col("best.word").alias("common"))
+    )
 
-    return of
 
+def with_figures(
+    docs: DataFrame, text: str = "text", lang: str = "lang"
+) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` and the figures of each text, with the names that these columns have.
 
-def with_figures(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` and the figures of each text, with the names that these columns have."""
+    The common words are a stored table of one row for each language: Spark sees its size and
+    broadcasts it if that is small, so that texts aren't shuffled.
+    """
     kinds = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
              "base_failed", "classes", "common"]
     names = dict(zip(kinds, fresh(docs, *kinds)))
     own = list(docs.columns)
     spare = docs.select("*", *[F.lit(0).alias(x) for x in names.values()])
-    t, w, n, p, s, c, r = fresh(spare, "t", "w", "n", "p", "s", "c", "r")
+    t, w, n, p, s, c, r, of, most = fresh(spare, "t", "w", "n", "p", "s", "c", "r", "of", "most")
     keep = [col(x) for x in own]
     left = lambda x, pattern: F.length(F.regexp_replace(x, pattern, "")).cast("long")
 
-    step = docs.select(*keep, text_of(text).alias(t))
-    step = step.select("*", words_of(F.col(t)).alias(w), F.regexp_replace(t, BULK, "").alias(r))
+    listed = stored(common_words(docs, text, lang), "quality-words")
+    listed = listed.select(F.col("ref_lang").alias(of), F.col("common").alias(most))
+    step = docs.select(*keep, text_of(text).alias(t)).join(
+        listed, F.coalesce(col(lang), F.lit("")) == F.col(of), "left"
+    )
+    step = step.select(
+        *keep, t, most, words_of(F.col(t)).alias(w), F.regexp_replace(t, BULK, "").alias(r)
+    )
     lines = F.filter(F.split(F.col(t), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     packed = F.transform(
         F.sequence(F.lit(0), F.size(w) - 3),
@@ -134,8 +137,8 @@ def with_figures(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[s
         .bitwiseAND(F.lit(-1 << 32))
         .bitwiseOR(i.cast("long")),
     )
-    letter = _letter(docs.sparkSession)
-    short = F.filter(F.col(w), lambda x: F.length(x) <= LONGEST_COMMON)
+    letters = F.split(F.lit(" ".join(LETTERS)), " ")
+    letter = lambda x: F.get(letters, (F.array_position(F.col(most), x) - 1).cast("int"))
     step = step.select(
         *keep,
         F.size(w).cast("long").alias(names["n_words"]),
@@ -149,7 +152,7 @@ def with_figures(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[s
         F.length(t).cast("long").alias(n),
         F.when(F.size(w) >= 3, F.sort_array(packed)).alias(p),
         F.col(w),
-        F.array_join(F.transform(short, lambda x: letter(F.lower(x))), "").alias(c),
+        F.coalesce(F.array_join(F.transform(F.col(w), lambda x: letter(F.lower(x))), ""), F.lit("")).alias(c),
     )
     likely = F.transform(
         _likely_repeated(F.col(p)),
@@ -192,7 +195,7 @@ def distance(p: Column, q: Column) -> Column:
 
 def references(figures: DataFrame, names: dict[str, str], lang: str) -> DataFrame:
     """The mean histograms of each language; sums are made before the shuffle."""
-    sizes = {"classes": len(OUTSIDE) + 2, "common": len(COMMON_WORDS) + 1}
+    sizes = {"classes": len(OUTSIDE) + 2, "common": COMMON + 1}
     good = figures.where(~F.col(names["base_failed"]))
     means = [
         F.avg(F.col(names[kind])[i] / F.aggregate(
@@ -218,7 +221,7 @@ def judged(docs: DataFrame, carry: list[str], text: str = "text", lang: str = "l
     A carried column of such a name gives way by an underscore before the new name.
     """
     plain = docs.select(*[col(c) for c in dict.fromkeys([*carry, text, lang])])
-    figures, names = with_figures(plain, text)
+    figures, names = with_figures(plain, text, lang)
     wanted = list(dict.fromkeys([*carry, lang]))
     figures = stored(figures.select(*[col(c) for c in wanted], *names.values()), "quality-figures")
     kept, by_class, by_word = fresh(figures, "kept", "class_distance", "word_distance")
