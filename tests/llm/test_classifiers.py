@@ -181,16 +181,18 @@ def test_language_odd_rows(spark):
     assert lang_gru.predicted(df.limit(0)).collect() == []
 
 
-def test_windows_are_drawn_from_the_whole_text():
-    text = "".join(chr(97 + k % 26) for k in range(64 * 50))
-    raw, places = text.encode(), set()
-    for key in range(-20, 20):
-        rows = lang_gru.drawn(text, key)
-        assert rows.shape == (lang_gru.PER_DOC, lang_gru.TRAIN_BYTES)
-        assert (rows == lang_gru.drawn(text, key)).all()
-        places |= {raw.find(bytes(r.astype(np.uint8))) for r in rows}
-    assert len(places) > 5 and -1 not in places
-    assert lang_gru.drawn("é", 1).tolist()[0][:3] == [0xC3, 0xA9, lang_gru.PAD]
+def test_every_window_of_the_chosen_rows_can_be_drawn(spark, monkeypatch):
+    text = "".join(chr(97 + k % 26) for k in range(64 * 50 + 7))
+    known = spark.createDataFrame([("x", text, 1), ("x", "é", 2), ("y", text[:70], 3)], "lang string, text string, id long")
+    counts = {"x": 2, "y": 1}
+    rows = lang_gru.training_windows(known, counts).collect()
+    whole = [text[k : k + 64].encode() for k in range(0, len(text), 64)]
+    assert sorted(bytes(r.part) for r in rows if r.lang == "x") == sorted([*whole, "é".encode()])
+    assert sorted(bytes(r.part) for r in rows if r.lang == "y") == sorted([text[:64].encode(), text[64:70].encode()])
+    monkeypatch.setattr(lang_gru, "windows_per_lang", lambda n: 5)
+    few = lang_gru.training_windows(known, counts).collect()
+    assert sum(r.lang == "x" for r in few) == 5 and sum(r.lang == "y" for r in few) == 2
+    assert {(r.lang, bytes(r.part)) for r in few} <= {(r.lang, bytes(r.part)) for r in rows}
 
 
 def test_repeated_ids_keep_their_labels(spark):

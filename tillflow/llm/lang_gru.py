@@ -2,10 +2,10 @@
 
 The network reads windows of ``WINDOW`` bytes in both directions and labels every byte;
 a document's probabilities are the means over all its bytes.  It is trained in numpy by
-backpropagation through time on at most ``PER_LANG`` documents of each language, chosen by
-a hash, among those whose crc32(doc_id as text) mod 5 isn't 0; tasks draw ``PER_DOC`` windows
-from the whole text of each, and only these windows come to the driver.  Prediction covers
-every byte of every text.  Only the text is an input of a prediction.
+backpropagation through time on all windows of about ``PER_LANG`` documents of each language,
+chosen by a hash, among those whose crc32(doc_id as text) mod 5 isn't 0.  Of more windows of a
+language than its steps can take twice, those with the least hashes come to the driver, drawn
+by Spark from the whole texts.  Prediction covers every byte of every text.  Only the text is an input of a prediction.
 
 Defined results: a null text or one without a letter is ``und`` with score 0.  Without any
 row to learn from everything is ``und``.  A row without a doc_id counts as held out.  Every
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import col
@@ -28,8 +28,8 @@ from tillflow.llm.common import col
 WINDOW = 128
 HIDDEN = 8
 LANGS_A_FIT = 16
-#: Bounds on what a fit sees: documents of a language, and windows of each document.
-PER_LANG, PER_DOC = 300, 2
+#: Bound on the documents of a language that a fit sees.
+PER_LANG = 300
 TRAIN_BYTES, BATCH, STEPS, RATE = 64, 256, 220, 0.02
 PORTION_WINDOWS = 4096
 PAD = 256
@@ -120,31 +120,64 @@ def windows(raw: bytes, size: int) -> np.ndarray:
     return out.reshape(rows, size)
 
 
-def drawn(text: str, key: int) -> np.ndarray:
-    """PER_DOC windows of TRAIN_BYTES of the whole text, drawn by ``key``."""
-    rows = windows(text.encode("utf-8", "replace"), TRAIN_BYTES)
-    return rows[np.random.default_rng(key % (1 << 63)).permutation(len(rows))[:PER_DOC]]
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row (lang, key, number, part) for each TRAIN_BYTES of each text."""
+    for batch in batches:
+        for lang, key, text in zip(*(batch.column(k) for k in ("lang", "key", "text"))):
+            raw = text.as_py().encode("utf-8", "replace")
+            for first in range(0, max(1, len(raw)), TRAIN_BYTES * 4096):
+                block = raw[first : first + TRAIN_BYTES * 4096]
+                parts = [block[k : k + TRAIN_BYTES] for k in range(0, max(1, len(block)), TRAIN_BYTES)]
+                yield pa.record_batch({
+                    "lang": pa.array([lang.as_py()] * len(parts), pa.string()),
+                    "key": pa.array([key.as_py()] * len(parts), pa.int64()),
+                    "number": pa.array(range(first, first + len(parts)), pa.int64()),
+                    "part": pa.array(parts, pa.binary()),
+                })
 
 
-def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = batch.column("key").to_pylist()
-        parts = [drawn(t.as_py(), k).tolist() for t, k in zip(batch.column("text"), keys)]
-        yield pa.record_batch(
-            [batch.column("lang"), batch.column("key"), pa.array(parts, pa.list_(pa.list_(pa.int16())))],
-            names=["lang", "key", "parts"],
-        )
+def steps_for(langs: int) -> int:
+    return STEPS * -(-langs // LANGS_A_FIT)
+
+
+def windows_per_lang(langs: int) -> int:
+    """Bound on the windows of a language: twice what the steps draw of it on average."""
+    return 2 * steps_for(langs) * BATCH // max(1, langs)
+
+
+def training_windows(known: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """lang, part: the windows that a fit draws from; ``known`` has lang, text and id."""
+    shares = [(k, min(1_000_003, 1_000_003 * PER_LANG // n + 1)) for k, n in counts.items()]
+    limits = known.sparkSession.createDataFrame(shares, "lang string, share int")
+    order = F.xxhash64("id", F.lit("lang"))
+    cut = (
+        known.join(F.broadcast(limits), "lang")
+        .where(F.pmod(order, F.lit(1_000_003)) < F.col("share"))
+        .select("lang", F.xxhash64("id", F.lit("lang"), "text").alias("key"), "text")
+        .mapInArrow(_cut, "lang string, key long, number long, part binary")
+        .select("lang", F.xxhash64("key", "number").alias("place"), "part")
+    )
+    by_hash = Window.partitionBy("lang").orderBy("place", "part")
+    ranked = cut.withColumn("rank", F.row_number().over(by_hash))
+    return ranked.where(F.col("rank") <= windows_per_lang(len(counts))).select("lang", "rank", "part")
 
 
 def train(x: np.ndarray, y: np.ndarray, n_langs: int) -> Network:
-    """A network from windows and the numbers of their languages."""
+    """A network from windows and the numbers of their languages.
+
+    A batch draws languages evenly, and then windows of each, so that a language with little
+    text counts as much as any other.
+    """
     rng, network = np.random.default_rng(11), Network(n_langs)
     if not len(y):
         return network
+    by_lang = np.argsort(y, kind="stable")
+    _, first_of, size = np.unique(y[by_lang], return_index=True, return_counts=True)
     params = network.params()
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for step in range(1, STEPS * -(-n_langs // LANGS_A_FIT) + 1):
-        rows = rng.integers(0, len(y), BATCH)
+    for step in range(1, steps_for(n_langs) + 1):
+        which = rng.integers(0, len(size), BATCH)
+        rows = by_lang[first_of[which] + rng.integers(0, size[which])]
         for p, g, m, v in zip(params, network.gradients(x[rows], y[rows]), first, second):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -160,29 +193,13 @@ def fitted(docs: DataFrame, doc_id: str, text: str, lang: str) -> tuple[list[str
     counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return [], None
-    shares = [min(1_000_003, int(1_000_003 * 1.5 * PER_LANG / r["count"]) + 1) for r in counts]
-    limits = docs.sparkSession.createDataFrame(
-        [(r["lang"], x) for r, x in zip(counts, shares)], "lang string, share int"
-    )
-    order = F.xxhash64("id", F.lit("lang"))
-    rows = (
-        known.join(F.broadcast(limits), "lang")
-        .where(F.pmod(order, F.lit(1_000_003)) < F.col("share"))
-        .select("lang", F.xxhash64("id", F.lit("lang"), "text").alias("key"), "text")
-        .mapInArrow(_drawn, "lang string, key long, parts array<array<short>>")
-        .orderBy(F.pmod("key", F.lit(1_000_003)), "key")
-        .limit(2 * PER_LANG * len(counts))
-        .collect()
-    )
     names = [r["lang"] for r in counts]
     number = {x: k for k, x in enumerate(names)}
-    taken, parts, owners = dict.fromkeys(names, 0), [np.zeros((0, TRAIN_BYTES), np.int16)], []
-    for r in rows:
-        if taken[r["lang"]] < PER_LANG:
-            taken[r["lang"]] += 1
-            parts.append(np.array(r["parts"], np.int16))
-            owners += [number[r["lang"]]] * len(r["parts"])
-    return names, train(np.concatenate(parts), np.array(owners, int), len(names))
+    table = training_windows(known, {r["lang"]: r["count"] for r in counts}).orderBy("lang", "rank").toArrow()
+    parts = [windows(p or b"", TRAIN_BYTES)[:1] for p in table["part"].to_pylist()]
+    parts = [p if len(p) else np.full((1, TRAIN_BYTES), PAD, np.int16) for p in parts]
+    owners = np.array([number[x] for x in table["lang"].to_pylist()], int)
+    return names, train(np.concatenate(parts), owners, len(names))
 
 
 def _pooled(network: Network, texts: list[str | None]) -> np.ndarray:
