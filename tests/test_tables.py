@@ -367,3 +367,60 @@ def test_files_follow_bytes_not_the_session(spark, tmp_path):
     unknown = spark.createDataFrame([(k,) for k in range(50)], "x int")
     assert tables.planned_bytes(unknown) is None
     assert tables.clustered(unknown, ["x"]).count() == 50
+
+
+def test_a_table_of_two_keys_is_loaded_pruned_expired_and_moved(spark, table):
+    from tillflow.operators import lifecycle
+    from tillflow.sources import catalog
+
+    database, spec = "till_tests", catalog.TABLES["transactions_by_category"]
+    name = catalog.create(spark, "transactions_by_category", database)
+    tables.truncate_table(spark, name)
+    made = Generator(users=20, merchants=5, days=150, seed=3, as_of=datetime(2024, 6, 10)).rows(spark, 600)
+    odd = made.limit(1).withColumn("category", F.lit("it's 50% a/b=c"))
+    both = made.unionByName(odd)
+    assert catalog.load(both, "transactions_by_category", database, 3) == 601
+    stored = spark.table(name)
+    assert stored.columns[-2:] == ["ym", "category"] and stored.count() == 601
+
+    recent = spec.between(stored, "created_at", datetime(2024, 4, 20), datetime(2024, 5, 3))
+    plan = recent.where("category = 'travel'")._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+    assert "ym" in pruned and "category" in pruned
+    expected = both.where("created_at BETWEEN '2024-04-20' AND '2024-05-03'")
+    assert recent.count() == expected.count() > 0
+
+    archive = f"{table}_archive"
+    one = tables.partitions_of(spark, name, {"ym": 202403})
+    assert len(one) > 3 and all(p["ym"] == 202403 and p["category"] for p in one)
+    march = stored.where("ym = 202403").count()
+    tables.move_partition(spark, name, archive, {"ym": 202403})
+    assert spark.table(archive).count() == march and spark.table(name).where("ym = 202403").count() == 0
+    strange = odd.first()
+    key = {"ym": strange.created_at.year * 100 + strange.created_at.month, "category": "it's 50% a/b=c"}
+    tables.move_partition(spark, name, archive, key)
+    assert spark.table(archive).where(F.col("category") == key["category"]).count() == 1
+    tables.compact(spark, name, {"ym": 202404}, same, ["user_id"], 1)
+    assert {len(tables.partition_files(spark, name, p)) for p in tables.partitions_of(spark, name, {"ym": 202404})} <= {0, 1}
+    left = lifecycle.drop_expired(spark, name, "created_at", 40, datetime(2024, 6, 10))
+    assert 202404 in left and 202405 not in left
+    kept = both.where("created_at > '2024-05-01' AND category <> \"it's 50% a/b=c\"").count()
+    assert spark.table(name).count() == kept
+    assert lifecycle.move_old_months(spark, name, archive, 5, datetime(2024, 6, 10)) == [202405]
+
+
+def test_weekly_keys_imply_their_bounds(spark):
+    from tillflow.sources import catalog
+
+    spec = catalog.TABLES["payments_weekly"]
+    name = catalog.create(spark, "payments_weekly", "till_tests")
+    tables.truncate_table(spark, name)
+    made = Generator(users=9, merchants=5, days=60, seed=4, as_of=datetime(2024, 6, 10)).rows(spark, 300)
+    catalog.load(made, "payments_weekly", "till_tests", 2)
+    low, high = datetime(2024, 5, 8, 5), datetime(2024, 5, 20, 7)
+    some = spec.between(spark.table(name), "created_at", low, high)
+    assert some.count() == made.where(F.col("created_at").between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz"))).count() > 0
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "week" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+    weeks = {p["week"] for p in tables.partitions_of(spark, name)}
+    assert all(w.weekday() == 0 for w in weeks)

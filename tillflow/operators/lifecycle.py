@@ -96,10 +96,8 @@ def tier(
 
 
 def _months(spark: SparkSession, table: str) -> list[int]:
-    """Months a table has, from the catalog (no data is read)."""
-    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    parts = [dict(p.split("=", 1) for p in r[0].split("/")) for r in rows]
-    return sorted({int(p["ym"]) for p in parts if p["ym"] != "__HIVE_DEFAULT_PARTITION__"})
+    """Months a table has, by itself or with other keys, from the catalog (no data is read)."""
+    return sorted({p["ym"] for p in tables.partitions_of(spark, table) if p["ym"] is not None})
 
 
 def _next_month(ym: int) -> datetime:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -191,12 +193,43 @@ def insert_select(df: DataFrame, table: str) -> None:
 # -- partitions -------------------------------------------------------------
 
 
+def _literal(value) -> str:  # noqa: ANN001
+    """A partition value in SQL."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, int):
+        return str(value)
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"DATE'{text}'" if isinstance(value, date) else f"'{text}'"
+
+
 def _spec(partition: dict) -> str:
-    return ", ".join(f"{k} = {v!r}" for k, v in partition.items())
+    return ", ".join(f"`{k}` = {_literal(v)}" for k, v in partition.items())
+
+
+def partitions_of(spark: SparkSession, table: str, given: dict | None = None) -> list[dict]:
+    """The partitions that a table has, with typed values; those that agree with ``given``.
+
+    From the catalog, no data are read.  ``given`` may name some keys of several.
+    """
+    schema = spark.table(table).schema
+    only = f" PARTITION ({_spec(given)})" if given else ""
+    kinds = {"int": int, "bigint": int, "date": date.fromisoformat}
+    out = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}{only}").collect():
+        found = {}
+        for part in row[0].split("/"):
+            name, _, text = part.partition("=")
+            kind = kinds.get(schema[name].dataType.simpleString(), str)
+            found[name] = None if text == "__HIVE_DEFAULT_PARTITION__" else kind(unquote(text))
+        out.append(found)
+    return out
 
 
 def drop_partition(spark: SparkSession, table: str, partition: dict) -> None:
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(partition)})")
+    """Drop a partition, or all that some keys name (not every catalog drops these by itself)."""
+    for whole in partitions_of(spark, table, partition):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(whole)})")
 
 
 def _described(spark: SparkSession, what: str) -> str:
@@ -209,18 +242,23 @@ def location(spark: SparkSession, table: str) -> str:
     return _described(spark, table)
 
 
-def partition_folder(spark: SparkSession, table: str, partition: dict) -> str | None:
-    """Where the files of a partition lie; None if the catalog has no such partition."""
-    if not partition:
-        return location(spark, table)
-    known = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_spec(partition)})")
-    return _described(spark, f"{table} PARTITION ({_spec(partition)})") if known.take(1) else None
+def partition_folder(spark: SparkSession, table: str, partition: dict) -> str:
+    """Where the files of a partition lie, given by all its keys; without keys, of the table."""
+    return _described(spark, f"{table} PARTITION ({_spec(partition)})" if partition else table)
+
+
+def _each(spark: SparkSession, table: str, partition: dict) -> list[dict]:
+    """The whole partitions that some keys name."""
+    return partitions_of(spark, table, partition) if partition else [{}]
 
 
 def partition_files(spark: SparkSession, table: str, partition: dict) -> list[str]:
-    """The data files that a partition has now."""
-    folder = partition_folder(spark, table, partition)
-    return [f.path for f in files.listing(spark, folder)] if folder else []
+    """The data files that a partition has now, or all partitions that some keys name."""
+    return [
+        f.path
+        for whole in _each(spark, table, partition)
+        for f in files.listing(spark, partition_folder(spark, table, whole))
+    ]
 
 
 def rows_of_files(spark: SparkSession, table: str, partition: dict, paths: Sequence[str]) -> DataFrame:
@@ -235,6 +273,7 @@ def rows_of_files(spark: SparkSession, table: str, partition: dict, paths: Seque
 def move_partition(spark: SparkSession, table: str, archive: str, partition: dict) -> None:
     """Move the files of one partition to a table of the same columns; its own files stay.
 
+    With some keys of several, all partitions that they name are moved by one plan.
     Files are renamed one by one, no row is rewritten, and a file is in one of the tables at
     any time.  The plan of a move is written beside the archive before its first file moves
     and closed after the last: a move that broke off is finished by the next one into the
@@ -244,17 +283,22 @@ def move_partition(spark: SparkSession, table: str, archive: str, partition: dic
     delete files that are just being added.
     """
     if not table_exists(spark, archive):
-        create_table(spark, archive, spark.table(table).schema, list(partition))
+        columns = spark.catalog.listColumns(table)
+        keys = [c.name for c in columns if c.isPartition]
+        create_table(spark, archive, spark.table(table).schema, keys)
     kinds = [{f.name: f.dataType for f in spark.table(t).schema.fields} for t in (table, archive)]
     if kinds[0] != kinds[1]:
         raise ValueError(f"{table} and {archive} have different columns")
     journal = moves_of(spark, archive)
     ledgers.resume(spark, journal)
-    found = partition_files(spark, table, partition)
-    if found:
-        spark.sql(f"ALTER TABLE {archive} ADD IF NOT EXISTS PARTITION ({_spec(partition)})")
-        target = partition_folder(spark, archive, partition)
-        ledgers.carry_out(spark, journal, table, [(f, f"{target}/{files.name_of(f)}") for f in found])
+    renames = []
+    for whole in _each(spark, table, partition):
+        if found := partition_files(spark, table, whole):
+            spark.sql(f"ALTER TABLE {archive} ADD IF NOT EXISTS PARTITION ({_spec(whole)})")
+            target = partition_folder(spark, archive, whole)
+            renames += [(f, f"{target}/{files.name_of(f)}") for f in found]
+    if renames:
+        ledgers.carry_out(spark, journal, table, renames)
     for name in (table, archive):
         spark.catalog.refreshTable(name)
 
@@ -298,18 +342,18 @@ def compact(
     Exactly the files that were read are replaced: files that inserts add meanwhile stay, and
     if one of those read is gone by then, nothing changes and the call fails.  The merged
     files are staged in a hidden folder of the table.  The exchange is written down before
-    its first rename; one that broke off is finished by the next call.
+    its first rename; one that broke off is finished by the next call.  With some keys of
+    several, each partition that they name is merged by itself.
     """
-    folder = partition_folder(spark, table, partition)
-    if folder is None:
-        return
     exchanges = f"{location(spark, table)}/_exchanges"
-    record = f"{exchanges}/{'.'.join(f'{k}={v}' for k, v in partition.items()) or 'all'}.json"
-    ledgers.finish_exchange(spark, record)
-    read = partition_files(spark, table, partition)
-    if read:
-        staged = f"{exchanges}/{uuid.uuid4().hex}"
-        merged = merge(rows_of_files(spark, table, partition, read))
-        clustered(merged, order, partitions).drop(*partition).write.parquet(staged)
-        ledgers.exchange(spark, record, folder, read, staged)
+    for whole in _each(spark, table, partition):
+        folder = partition_folder(spark, table, whole)
+        record = f"{exchanges}/{'.'.join(f'{k}={v}' for k, v in whole.items()) or 'all'}.json"
+        ledgers.finish_exchange(spark, record)
+        read = partition_files(spark, table, whole)
+        if read:
+            staged = f"{exchanges}/{uuid.uuid4().hex}"
+            merged = merge(rows_of_files(spark, table, whole, read))
+            clustered(merged, order, partitions).drop(*whole).write.parquet(staged)
+            ledgers.exchange(spark, record, folder, read, staged)
     spark.catalog.refreshTable(table)
