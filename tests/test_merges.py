@@ -111,3 +111,9 @@ def test_rows_left_over_several_times_stay(spark):
     df = spark.createDataFrame(rows, "user_id int, balance int, sign int")
     out = sorted(tuple(r) for r in merges.collapse(df).collect())
     assert out == [(1, 100, 1), (1, 100, 1), (2, 5, 1)]
+
+
+def test_many_copies_of_a_row_are_made_in_blocks(spark):
+    df = spark.createDataFrame([(1, 10_001), (2, 4096), (3, -5), (4, 1)], "k int, sign long")
+    got = {r.k: r["count"] for r in merges.collapse(df).groupBy("k").count().collect()}
+    assert got == {1: 10_001, 2: 4096, 4: 1}

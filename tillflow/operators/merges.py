@@ -67,6 +67,10 @@ def summing(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None =
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
 
 
+#: Copies of a row that :func:`collapse` makes at a time.
+BLOCK = 4096
+
+
 def _net(df: DataFrame, sign: str) -> DataFrame:
     payload = [c for c in df.columns if c != sign]
     return df.groupBy(*payload).agg(F.sum(sign).alias("_net"))
@@ -76,10 +80,14 @@ def collapse(df: DataFrame, sign: str = "sign") -> DataFrame:
     """Rows left after each -1 row cancels an equal +1 row.
 
     Equality covers all other columns, a version column included, so rows may
-    arrive in any order.  A row that is left over several times comes as often.
+    arrive in any order.  A row that is left over several times comes as often; copies are
+    made in blocks of ``BLOCK``, so that no array holds them all.
     """
     net = _net(df, sign).where("_net > 0")
-    return net.withColumn(sign, F.explode(F.expr("array_repeat(1, cast(_net as int))"))).drop("_net")
+    blocks = net.withColumn("_block", F.explode(F.expr(f"sequence(0L, (_net - 1) div {BLOCK})")))
+    size = F.least(F.lit(BLOCK), F.col("_net") - F.col("_block") * BLOCK).cast("int")
+    copies = F.explode(F.array_repeat(F.lit(1), size))
+    return blocks.withColumn(sign, copies).drop("_net", "_block")
 
 
 def unmatched_cancels(df: DataFrame, sign: str = "sign") -> DataFrame:

@@ -96,10 +96,17 @@ def built(spark: SparkSession, source: str, purpose: str, build: Callable[[str],
     if key not in _BUILT:
         path = shared_dir(spark, purpose)
         build(path)
+        discard_at_exit(spark, path)
         _BUILT[key] = path
     return _BUILT[key]
 
 
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is there when this application's JVM ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder made by :func:`shared_dir` once it is no longer needed."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
