@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.session import built
+from tillflow.session import built, discard_at_exit
 from tillflow.sources import files
 
 #: Deltas beyond this number are merged into one, if the copy says how.
@@ -85,4 +85,6 @@ def _forget(spark: SparkSession, root: str, generation: int) -> None:
 def copy_of(spark: SparkSession, source: str, purpose: str, add: Add, merge: Merge | None = None) -> DataFrame:
     """The copy of a source that this application keeps in its shared folder, brought up to date."""
     root = built(spark, source, purpose, lambda path: None)
-    return stored(spark, follow(spark, source, root, add, merge))
+    folders = follow(spark, source, root, add, merge)
+    discard_at_exit(spark, root)
+    return stored(spark, folders)
