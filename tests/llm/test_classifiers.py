@@ -218,3 +218,72 @@ def test_gradients_match_differences():
         param[at] = old - step
         assert (up - loss()) / (2 * step) == pytest.approx(grad[at], abs=2e-4)
         param[at] = old
+
+
+def test_network_equals_a_plain_recurrence():
+    """One state at a time, by loops over units."""
+    import math
+
+    net, size = lang_gru.Network(3, seed=5), lang_gru.HIDDEN
+    raw = b"caf\xc3\xa9 und so"
+    sigma = lambda v: 1 / (1 + math.exp(-v))
+
+    def states(way):
+        h, out = [0.0] * size, {}
+        for t in range(len(raw) - 1, -1, -1) if way else range(len(raw)):
+            gates = net.table[way][raw[t]].tolist()
+            fed = [sum(h[i] * float(net.loop[way][i, j]) for i in range(size)) for j in range(3 * size)]
+            z = [sigma(gates[j] + fed[j]) for j in range(size)]
+            r = [sigma(gates[size + j] + fed[size + j]) for j in range(size)]
+            new = [math.tanh(gates[2 * size + j] + r[j] * fed[2 * size + j]) for j in range(size)]
+            h = [(1 - z[j]) * new[j] + z[j] * h[j] for j in range(size)]
+            out[t] = h
+        return out
+
+    both, total = [states(0), states(1)], np.zeros(3)
+    for t in range(len(raw)):
+        score = [sum(h * float(net.head[j, k]) for j, h in enumerate(both[0][t] + both[1][t])) + float(net.base[k]) for k in range(3)]
+        e = np.exp(np.array(score) - max(score))
+        total += e / e.sum()
+    assert np.allclose(lang_gru._pooled(net, [raw.decode()])[0], total / len(raw), atol=1e-5)
+
+
+def test_chain_equals_a_plain_score(spark, labels):
+    """Probabilities by loops over the features of each text, earlier odds fed to the later model."""
+    import math
+
+    texts = ["you are a nice person", "Worthless trash", "", None, "plain words here", "Ärger über straße"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    both = train.select("doc_id", "text").unionByName(docs.withColumn("doc_id", docs.doc_id - 100))
+    known = toxicity.default_categories().values()
+    data = linear.sample(both, labels, F.array(*[c.cast("int") for c in known]), "doc_id", "text")
+    models = toxicity.chain(data)
+    got = {r.doc_id: r for r in toxicity.scored(both, labels).where("doc_id < 0").collect()}
+    for k, text in enumerate(texts):
+        row, at, count, _ = linear.features(pa.array([text], pa.string()), whole=True)
+        odds, p = [], 0.5
+        for model in models:
+            score = [float(c) + sum(o * float(model.dense[j, y]) for j, o in enumerate(odds)) for y, c in enumerate(model.constant)]
+            for b, n in zip(at.tolist(), count.tolist()):
+                where = np.flatnonzero(model.buckets == b)
+                for y in (0, 1):
+                    score[y] += sum(float(model.weights[w, y]) for w in where) * math.log1p(n)
+            p = 1 / (1 + math.exp(score[0] - score[1]))
+            odds.append(math.log(p / (1 - p)))
+        assert got[k - 100].p_toxic == pytest.approx(p, abs=1e-9) and got[k - 100].toxic == (p > 0.5)
+
+
+def test_clashing_columns_and_empty_tables(spark, docs, labels):
+    wide = docs.limit(30).selectExpr("doc_id", "text", "lang", "1 AS label", "2 AS p", "3 AS n_words", "4 AS key", "5 AS score", "6 AS chosen")
+    assert toxicity.scored(wide, labels).count() == 30
+    assert mixing.assigned(wide, labels).count() == 30 and lang_gru.predicted(wide).count() == 30
+    none = wide.limit(0)
+    assert toxicity.scored(none, labels).count() == mixing.assigned(none, labels).count() == lang_gru.predicted(none).count() == 0
+
+
+def test_a_very_long_text(spark):
+    text = "the quick words and then " * 40_000 + "é"
+    df = spark.createDataFrame([(k, text if k % 2 else "das ist der Text und " * 20, "en" if k % 2 else "de") for k in range(12)], "doc_id long, text string, lang string")
+    got = lang_gru.predicted(df).collect()
+    assert all(r.lang_pred == ("en" if r.doc_id % 2 else "de") for r in got)

@@ -93,3 +93,19 @@ def test_clashing_columns(spark):
     rows = [(1, "a" * 500, 7, 8), (2, None, 7, 8)]
     df = spark.createDataFrame(rows, "doc_id long, text string, row_no int, spans int")
     assert sorted(map(tuple, suffix_dedup.digests(df).collect())) == brute([r[:2] for r in rows])
+
+
+def test_parts_of_a_long_text_share_their_borders(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_PLACE", 10)
+    monkeypatch.setattr(suffix_dedup, "_LIMIT", 1 << 10)
+    import numpy as np
+
+    rng = random.Random(8)
+    passage, long = prose(rng, 160), prose(rng, 900)
+    for at in (100, 560, 624, 700, 1250):
+        raw = (long[:at] + passage + long[at:]).encode()
+        first, count, anchor, _ = suffix_dedup._anchored(raw)
+        starts = np.concatenate([np.arange(a, a + n) for a, n in zip(first, count)])
+        assert sorted(set(starts.tolist())) == list(range(len(raw) - 400 + 1))
+        for a, n, p in zip(first.tolist(), count.tolist(), anchor.tolist()):
+            assert a + n - 1 <= p <= a + 400 - suffix_dedup.GRAM

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.session import shared_dir
+from tillflow.session import discard_at_exit, shared_dir
 
 #: What separates words: a space or a control character from tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -21,10 +21,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
-    Cuts the lineage: a lost executor costs tasks that read these files again.
+    Cuts the lineage: a lost executor costs tasks that read these files again.  They are
+    deleted when the application ends.
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    discard_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
