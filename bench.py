@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -74,10 +75,27 @@ def seconds(query, spark, sf_dir) -> float:
     return time.perf_counter() - start
 
 
+def ingested(spark, sf_dir) -> tuple[int, float]:
+    """Rows and seconds of a load of all payments into a sorted, partitioned table."""
+    from tillflow.sources import catalog, tables, views
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS tillflow_bench")
+    name = catalog.create(spark, "transactions", "tillflow_bench")
+    try:
+        start = time.perf_counter()
+        rows = catalog.load(views.txn(spark, sf_dir), "transactions", "tillflow_bench")
+        return rows, time.perf_counter() - start
+    finally:
+        tables.drop_table(spark, name)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "*")
-    spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8)
+    warehouse = tempfile.mkdtemp(prefix="tillflow-bench-")
+    spark = local_session(
+        cpus, int(cpus) if cpus.isdigit() else 8, {"spark.sql.warehouse.dir": warehouse}
+    )
     known = {**registry.queries(), "aggregate_raw_full": aggregate_raw_full}
     times = {}
     for name in HEADLINE:
@@ -85,6 +103,8 @@ def main() -> None:
         seconds(query, spark, sf_dir)
         times[name] = round(statistics.median(seconds(query, spark, sf_dir) for _ in range(3)), 4)
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    ingested(spark, sf_dir)
+    loaded, took = ingested(spark, sf_dir)
     print(
         json.dumps(
             {
@@ -94,6 +114,8 @@ def main() -> None:
                 "queries": times,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
                 "lineitem_rows": rows,
+                "load_rows": loaded,
+                "load_rows_per_sec": round(loaded / took),
             }
         )
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from tillflow.clock import last_days, last_hours_rolling, moment
 from tillflow.functions import times
 from tillflow.operators import merges
 from tillflow.operators.joins import enrich
-from tillflow.operators.states import PART_COLUMNS, exact_quantile_of, read_states
+from tillflow.operators.states import PART_COLUMNS, Measure, exact_quantile_of, read_states
 from tillflow.plans import customers
 from tillflow.registry import Registry
 from tillflow.registry.analytics import AS_OF, MERCHANT_ID
@@ -134,10 +135,10 @@ def _(spark, d):
     )
 
 
-def _full_statistics(states: DataFrame, sketches: bool = False) -> DataFrame:
-    """Everything the metric states hold, per merchant and category."""
-    view = maintained.payment_metrics(sketches)
-    merged = read_states(states, ["merchant_id", "category"], view.measures)
+def _full_statistics(states: DataFrame, measures: Sequence[Measure]) -> DataFrame:
+    """What some measures of the metric states hold, per merchant and category."""
+    merged = read_states(states, ["merchant_id", "category"], measures)
+    sketched = dict(zip(_SKETCHED, ("unique_users", "amount_p50", "amount_p99")))
     return merged.select(
         "merchant_id",
         "category",
@@ -146,9 +147,7 @@ def _full_statistics(states: DataFrame, sketches: bool = False) -> DataFrame:
         F.col("min_amount").alias("smallest_transaction"),
         F.col("max_amount").alias("largest_transaction"),
         F.col("transaction_count").alias("total_transactions"),
-        F.col("unique_users").alias("unique_customers"),
-        F.col("amount_p50").alias("median_transaction"),
-        F.col("amount_p99").alias("p99_transaction"),
+        *[F.col(c).alias(name) for name, c in sketched.items() if c in merged.columns],
         F.try_divide(
             F.col("total_amount").cast("double"), F.col("transaction_count").cast("double")
         ).alias("calculated_avg"),
@@ -168,14 +167,15 @@ def _full_statistics(states: DataFrame, sketches: bool = False) -> DataFrame:
 )
 def _(spark, d):
     recent = last_days(_metric_states(spark, d), 30, AS_OF, ts="metric_date")
-    return _full_statistics(recent).drop(*_SKETCHED)
+    plain = [m for m in maintained.payment_metrics().measures if m.name in _PLAIN]
+    return _full_statistics(recent, plain)
 
 
 @query("state_merge_full_sketches")
 def _(spark, d):
     """The same with users and percentiles as sketches, which are estimates in large groups."""
-    states = _metric_states(spark, d, sketches=True)
-    return _full_statistics(last_days(states, 30, AS_OF, ts="metric_date"), sketches=True)
+    states = last_days(_metric_states(spark, d, sketches=True), 30, AS_OF, ts="metric_date")
+    return _full_statistics(states, maintained.payment_metrics(sketches=True).measures)
 
 
 @query(
