@@ -161,7 +161,7 @@ PAYMENT_METRIC = _schema(
     ("unique_users", LongType()),
 )
 
-# Column defaults as SQL expressions, filled in when a row leaves them out.
+# Column defaults as SQL expressions, filled in when a row leaves them out.
 TRANSACTION_DEFAULTS = {
     "transaction_id": "uuid()",
     "currency": "'USD'",
