@@ -42,7 +42,7 @@ _NONE = np.iinfo(np.int64).max
 
 
 def byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in such vocabularies."""
+    """The printable letter that stands for each byte in such vocabularies; fixed by their format."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     moved = [b for b in range(256) if b not in plain]
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(moved)}
