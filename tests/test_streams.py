@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillflow.operators.joins import enrich
 from tillflow.sources import views
-from tillflow.streaming import pipelines
+from tillflow.streaming import hours, pipelines
 from tillflow.streaming import views as maintained
 
 
@@ -217,3 +217,64 @@ def test_half_a_batch_does_not_count_and_a_retry_counts_once(spark, tmp_path, mo
     assert pipelines.stored(spark, view, root).count() == 4
     pipelines.write_delta(view, rows.where("n >= 4"), root, 1, "s1")
     assert sorted(r.n for r in pipelines.stored(spark, view, root).collect()) == list(range(10))
+
+
+def _hours_of(txn):
+    return rows_of(
+        txn.groupBy(F.date_trunc("hour", "created_at").cast("timestamp_ntz").alias("hour")).agg(
+            F.count("*").alias("transactions"), F.sum("amount").cast("decimal(38,2)").alias("revenue")
+        )
+    )
+
+
+def test_open_hours_are_bounded_and_late_rows_kept(spark, sf_dir, events, tmp_path):
+    """Files out of order, a retry of a batch and rows without a time; nothing lost or doubled."""
+    target, checkpoint, inbox = (str(tmp_path / n) for n in ("out", "cp", "in"))
+    late_and_none = spark.read.parquet(events).withColumn(
+        "ts", F.when(F.col("event_id") % 50 != 0, F.col("ts"))
+    )
+    late_and_none.repartition(6, "event_id").write.parquet(inbox)
+
+    def run():
+        payments = views.as_transactions(stream(spark, inbox, 1))
+        hours.maintain_hours(payments, target, checkpoint, "3 days").awaitTermination()
+
+    run()
+    want = _hours_of(views.as_transactions(late_and_none))
+    assert rows_of(hours.hour_totals(spark, target)) == want
+    rows = pipelines.written(spark, target)
+    assert {r.part for r in hours.hour_parts(spark, target).collect()} == {"open", "closed", "late"}
+    # From the third batch on the watermark is near the end: three days are open, not thirty.
+    kept = rows.where("part = 'open' AND batch_id >= 2").groupBy("batch_id").count()
+    assert kept.agg(F.max("count")).first()[0] <= 4 * 24
+    # A batch that ran, but wasn't committed, runs again with the same watermark.
+    Path(f"{checkpoint}/commits/5").unlink()
+    Path(f"{checkpoint}/commits/.5.crc").unlink(missing_ok=True)
+    run()
+    assert rows_of(hours.hour_totals(spark, target)) == want
+    # New files go on from the open hours of the last batch.
+    late_and_none.withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 DAYS")).coalesce(1).write.mode("append").parquet(inbox)
+    run()
+    assert rows_of(hours.hour_totals(spark, target)) == _hours_of(
+        views.as_transactions(spark.read.parquet(inbox))
+    )
+
+
+def test_two_streams_of_hours_share_a_target(spark, events, tmp_path):
+    target = str(tmp_path / "out")
+    for name in ("one", "two"):
+        payments = views.as_transactions(stream(spark, events, 2))
+        hours.maintain_hours(payments, target, str(tmp_path / name)).awaitTermination()
+    txn = views.as_transactions(spark.read.parquet(events))
+    assert rows_of(hours.hour_totals(spark, target)) == _hours_of(txn.unionByName(txn))
+
+
+def test_open_hours_that_are_gone_stop_the_stream(spark, events, tmp_path):
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    first = str(tmp_path / "in")
+    spark.read.parquet(events).coalesce(1).write.parquet(first)
+    hours.maintain_hours(views.as_transactions(stream(spark, first)), target, checkpoint).awaitTermination()
+    spark.read.parquet(events).coalesce(1).write.mode("append").parquet(first)
+    with pytest.raises(StreamingQueryException):
+        gone = str(tmp_path / "elsewhere")
+        hours.maintain_hours(views.as_transactions(stream(spark, first)), gone, checkpoint).awaitTermination()

@@ -30,7 +30,7 @@ from tillflow.registry.sql_views import (
 from tillflow.session import shared_dir
 from tillflow.sources import copies, views
 from tillflow.sources.schemas import PAYMENT_METRIC
-from tillflow.streaming import pipelines
+from tillflow.streaming import hours, pipelines
 from tillflow.streaming import views as maintained
 
 REGISTRY = Registry()
@@ -782,15 +782,11 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    """Hourly totals of each batch, added on reading; no row comes too late to count."""
+    """Open hours are carried from batch to batch, late rows are stored apart and added."""
     root = shared_dir(spark, "hours")
-
-    def totals(batch):
-        return pipelines.hourly_counts(views.as_transactions(batch))
-
-    running = pipelines.write_batches(_event_stream(spark, d), totals, f"{root}/out", f"{root}/_checkpoint")
-    running.awaitTermination()
-    return pipelines.hourly_totals(pipelines.written(spark, f"{root}/out"))
+    payments = views.as_transactions(_event_stream(spark, d))
+    hours.maintain_hours(payments, f"{root}/out", f"{root}/_checkpoint").awaitTermination()
+    return hours.hour_totals(spark, f"{root}/out")
 
 
 @query(

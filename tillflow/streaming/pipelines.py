@@ -62,7 +62,9 @@ def stream_id(checkpoint: str, spark: SparkSession | None = None) -> str:
     return "s" + json.loads(text)["id"].replace("-", "")
 
 
-def _store(rows: DataFrame, target: str, stream: str, batch_id: int, columns: Sequence[str] = ()) -> None:
+def store_batch(
+    rows: DataFrame, target: str, stream: str, batch_id: int, columns: Sequence[str] = ()
+) -> None:
     """Write one attempt of a batch and enter it in the ledger in place of an earlier one."""
     spark, attempt = rows.sparkSession, "a" + uuid.uuid4().hex[:12]
     rows.write.partitionBy(*columns).parquet(_folder(target, stream, batch_id, attempt))
@@ -85,17 +87,29 @@ def _ledger(spark: SparkSession, target: str) -> list[tuple[str, int, str, int]]
     return out
 
 
-def written(spark: SparkSession, target: str) -> DataFrame:
-    """The rows of all batches that the ledger of a target has, with stream and batch_id."""
+def written(spark: SparkSession, target: str, only: dict[str, int] | None = None) -> DataFrame:
+    """The rows of all batches that the ledger of a target has, with stream and batch_id.
+
+    ``only`` names one batch for each stream that is wanted.
+    """
     last: dict[tuple[str, int], tuple[int, str]] = {}
     for stream, batch_id, attempt, at in _ledger(spark, target):
-        last[stream, batch_id] = max(last.get((stream, batch_id), (0, "")), (at, attempt))
-    if not last:
-        raise FileNotFoundError(f"no batch has been stored in {target}")
+        if only is None or only.get(stream) == batch_id:
+            last[stream, batch_id] = max(last.get((stream, batch_id), (0, "")), (at, attempt))
+    if not last or only is not None and len(last) < len(only):
+        raise FileNotFoundError(f"{only or 'no batch'}: not (all) stored in {target}")
     paths = [_folder(target, *key, attempt) for key, (_, attempt) in sorted(last.items())]
     return spark.read.option("basePath", target).parquet(*paths).drop("attempt")
 
 
+def last_batches(spark: SparkSession, target: str) -> dict[str, int]:
+    """The last batch of each stream that the ledger of a target has."""
+    last: dict[str, int] = {}
+    for stream, batch_id, _, _ in _ledger(spark, target):
+        last[stream] = max(last.get(stream, 0), batch_id)
+    return last
+
+
 def write_delta(view, rows: DataFrame, root: str, batch_id: int, stream: str = "backfill") -> None:
     """Store what one batch of a stream adds to a view, replacing an earlier attempt."""
     delta = view.delta(rows)
@@ -103,7 +117,7 @@ def write_delta(view, rows: DataFrame, root: str, batch_id: int, stream: str = "
     if view.month_of:
         delta = delta.withColumn("ym", yyyymm(view.month_of))
         columns = ["ym"]
-    _store(delta, f"{root}/{view.name}", stream, batch_id, columns)
+    store_batch(delta, f"{root}/{view.name}", stream, batch_id, columns)
 
 
 def maintain(
@@ -221,20 +235,12 @@ def joined_at_arrival(
 
 
 def hourly_counts(rows: DataFrame, ts: str = "created_at") -> DataFrame:
-    """Hourly totals of a batch; :func:`hourly_totals` adds those of all batches."""
+    """Hourly totals of a batch."""
     return rows.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour")).agg(
         F.count("*").alias("transactions"), F.sum("amount").alias("revenue")
     )
 
 
-def hourly_totals(stored: DataFrame) -> DataFrame:
-    """Totals of each hour over the batches, however late its rows came."""
-    return stored.groupBy("hour").agg(
-        F.sum("transactions").alias("transactions"),
-        F.sum("revenue").cast("decimal(38,2)").alias("revenue"),
-    )
-
-
 def without_repeats(rows: DataFrame, keys: Sequence[str], version: str = "created_at") -> DataFrame:
     """The newest row of every key.
 
@@ -254,7 +260,7 @@ def write_batches(
     """Store what ``prepare`` makes of each batch; :func:`written` reads it."""
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        _store(prepare(batch), root, stream_id(checkpoint, batch.sparkSession), batch_id)
+        store_batch(prepare(batch), root, stream_id(checkpoint, batch.sparkSession), batch_id)
 
     return (
         stream.writeStream.foreachBatch(keep)
