@@ -67,6 +67,23 @@ def test_readable_size(spark, size, text):
     assert one(spark, money.readable_size("x"), size, "long") == text
 
 
+def test_sizes_beyond_a_long(spark, tmp_path):
+    from tillflow import registry
+
+    keys = [(9_000_000, 900_000), (94_906_267, 1_021), (1_000, 3)]
+    rows = spark.createDataFrame(keys, "o_orderkey long, o_custkey long")
+    rows.write.parquet(f"{tmp_path}/orders.parquet")
+    got = registry.queries()["readable_size"](spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in got} == {
+        (9_000_000, "64748.21 PiB"), (94_906_267, "8168.00 PiB"), (1_000, "2.86 MiB"),
+    }
+    top = 2**63 - 1
+    triples = [(top, top, top), (94_906_267, 94_906_267, 1_021), (9_000_001, 9_000_001, 900_001), (1, 2, None)]
+    far = spark.createDataFrame(triples, "a long, b long, c long")
+    product = [r[0] for r in far.select(money.product("a", "b", "c")).collect()]
+    assert product == [float(2**189), float(94_906_267**2 * 1_021), float(9_000_001**2 * 900_001), None]
+
+
 def test_display_text(spark):
     assert one(spark, money.dollars("x"), Decimal("1234567.5"), "decimal(18,2)") == "$1,234,567.50"
     assert one(spark, money.grouped("x"), 1234567, "long") == "1,234,567"

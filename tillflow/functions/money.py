@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,6 +83,17 @@ def percent_text(c) -> Column:
     return F.concat(F.format_number(_col(c), 1), F.lit("%"))
 
 
+def product(*factors) -> Column:
+    """Product of longs as a double, whatever its size.
+
+    It is exact up to 38 digits and rounded once; beyond that each step rounds.
+    """
+    kinds = ("decimal(20,0)", "double")
+    return F.coalesce(
+        *(reduce(F.try_multiply, [_col(f).cast(k) for f in factors]).cast("double") for k in kinds)
+    )
+
+
 def readable_size(bytes_) -> Column:
     """Bytes as text in powers of 1024 with two decimals."""
     b = _col(bytes_).cast("double")

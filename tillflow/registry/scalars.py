@@ -124,10 +124,9 @@ _SIZE_CASES = " ".join(
       SELECT o_orderkey, CAST(o_orderkey * o_orderkey * o_custkey AS DOUBLE) AS n FROM orders)""",
 )
 def _(spark, d):
-    size = F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_custkey")
-    return views.table(spark, d, "orders").select(
-        "o_orderkey", money.readable_size(size).alias("size")
-    )
+    size = money.product("o_orderkey", "o_orderkey", "o_custkey")
+    sized = views.table(spark, d, "orders").select("o_orderkey", size.alias("size"))
+    return sized.select("o_orderkey", money.readable_size("size").alias("size"))
 
 
 @query(
