@@ -369,6 +369,24 @@ def test_files_follow_bytes_not_the_session(spark, tmp_path):
     assert tables.clustered(unknown, ["x"]).count() == 50
 
 
+def test_dense_files_do_not_make_large_tasks(spark, tmp_path):
+    def sizes(rows):
+        source = f"{tmp_path}/dense{rows}"
+        dense = spark.range(rows).select((F.col("id") % 7).alias("k"), F.expr("id div 100").cast("string").alias("s"))
+        dense.coalesce(1).write.parquet(source)
+        read = spark.read.parquet(source)
+        assert tables.planned_bytes(read) < rows * 28 / 4
+        split = tables.clustered(read, ["s", "k"], file_bytes=1 << 20)
+        return [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+
+    small, large = sizes(200_000), sizes(800_000)
+    assert sum(small) == 200_000 and sum(large) == 800_000
+    assert len(small) == 6 and len(large) == 22
+    assert max(small + large) < 2 * (1 << 20) / 28
+    empty = spark.read.parquet(f"{tmp_path}/dense200000").where("k > 7")
+    assert tables.clustered(empty, ["k"]).count() == 0
+
+
 def test_a_table_of_two_keys_is_loaded_pruned_expired_and_moved(spark, table):
     from tillflow.operators import lifecycle
     from tillflow.sources import catalog

@@ -95,7 +95,7 @@ def with_defaults(df: DataFrame, schema: StructType, defaults: dict[str, str]) -
     return df.select(*columns)
 
 
-#: Bytes of a file that :func:`clustered` aims at.
+#: Bytes of rows that :func:`clustered` sorts in one task; its files are no larger.
 FILE_BYTES = 128 << 20
 
 
@@ -105,6 +105,14 @@ def planned_bytes(df: DataFrame) -> int | None:
     return size if size < 1 << 60 else None
 
 
+def counted_bytes(df: DataFrame) -> int:
+    """What the rows take in memory, by their number and the usual width of their types.
+
+    Of rows that come straight from Parquet only the footers are read.
+    """
+    return df.count() * int(df._jdf.schema().defaultSize())
+
+
 def clustered(
     df: DataFrame, order: Sequence[str], partitions: int | None = None, file_bytes: int = FILE_BYTES
 ) -> DataFrame:
@@ -113,12 +121,13 @@ def clustered(
     Ranges follow the row counts, so a month or user that holds a third of the
     rows is spread over a third of the tasks, files come out even, and their
     min/max statistics stay narrow.  The number of ranges is ``partitions``, or the
-    planned bytes (of files: those that are read) divided by ``file_bytes``, whatever
-    ``spark.sql.shuffle.partitions`` says; rows of unknown size take that setting, and
-    AQE merges small ranges.
+    planned bytes (of files: those that are read) or, if they are more, the counted bytes
+    of the rows, divided by ``file_bytes``, whatever ``spark.sql.shuffle.partitions`` says:
+    files can be far smaller than the rows that a task has to sort.  Rows of unknown size
+    take that setting, and AQE merges small ranges.
     """
     if partitions is None and (size := planned_bytes(df)) is not None:
-        partitions = max(1, -(-size // file_bytes))
+        partitions = max(1, -(-max(size, counted_bytes(df)) // file_bytes))
     ranged = (
         df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )
