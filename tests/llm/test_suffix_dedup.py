@@ -109,3 +109,55 @@ def test_parts_of_a_long_text_share_their_borders(spark, monkeypatch):
         assert sorted(set(starts.tolist())) == list(range(len(raw) - 400 + 1))
         for a, n, p in zip(first.tolist(), count.tolist(), anchor.tolist()):
             assert a + n - 1 <= p <= a + 400 - suffix_dedup.GRAM
+
+
+def test_texts_are_stored_packed_and_steps_deleted(spark, sf_dir, monkeypatch, tmp_path):
+    """What a run leaves on disk until its result is read: packed texts and spans."""
+    from tillflow.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda _, purpose: str(tmp_path / purpose))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    result = suffix_dedup.digests(docs)
+    left = {p.name: sum(f.stat().st_size for f in p.glob("*.parquet")) for p in tmp_path.iterdir()}
+    raw = sum(len((r.text or "").encode()) for r in docs.select("text").collect())
+    assert set(left) == {"suffix-rows", "suffix-spans"}
+    assert left["suffix-rows"] < 0.55 * raw
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    assert sorted(map(tuple, result.collect()), key=repr) == brute(rows)
+
+
+def test_spans_of_plain_rows(spark):
+    rows = [(0, "xy" + "é" * 210), (1, "é" * 200 + "z"), (2, "")]
+    found = suffix_dedup.spans(spark.createDataFrame(rows, "row_no long, text string"))
+    gone = {(r.row_no, k) for r in found.collect() for k in range(r.start, r.stop)}
+    assert gone == {(0, k) for k in range(2, 422)} | {(1, k) for k in range(400)}
+
+
+def test_only_runs_asked_for_need_all_their_marks():
+    import numpy as np
+
+    rng = random.Random(4)
+    for _ in range(20):
+        texts = [prose(rng, 300).encode()[:768] for _ in range(3)]
+        pieces, places, starts = [], [], []
+        for _ in range(12):
+            a = rng.randrange(369)
+            n = rng.randrange(1, 370 - a)
+            x = bytearray(texts[rng.randrange(3)])
+            x[368:400] = texts[0][368:400]  # the anchor's gram
+            if rng.random() < 0.5:
+                x[rng.randrange(368)] ^= 1
+            pieces.append(bytes(x[a : a + n - 1 + 400]))
+            places.append(368 - a)
+            starts.append(n)
+        places, starts = np.array(places), np.array(starts)
+        windows = [{(k - p + 368, x[k : k + 400]) for k in range(n)} for x, p, n in zip(pieces, places, starts)]
+        seen = Counter(w for x in windows for w in x)
+        want = np.zeros((12, 369), bool)
+        for i, x in enumerate(windows):
+            for at, text in x:
+                want[i, at] = seen[at, text] > 1
+        asked = np.array([rng.random() < 0.5 for _ in pieces])
+        assert (suffix_dedup.repeated_starts(pieces, places, starts) == want).all()
+        got = suffix_dedup.repeated_starts(pieces, places, starts, asked)
+        assert (got[asked] == want[asked]).all() and not (got & ~want).any()
